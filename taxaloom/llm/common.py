@@ -127,3 +127,11 @@ def repeat_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not use, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"{name}_"
+    return name
