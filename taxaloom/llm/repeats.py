@@ -32,9 +32,14 @@ from .common import byte_table, doc_key, fresh, materialise, mix64, partitions,
 K = 32
 #: Bytes of text whose anchors are ordered together before the shuffle.
 FLUSH = 24_000_000
-ROWS = pa.schema([("k", pa.int64()), ("f", pa.int8()), ("h", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("s", pa.int32()), ("w", pa.int32())])
-ROWS_SQL = "k long, f tinyint, h long, c long, doc long, s int, w int"
-MARKS_SQL = "f tinyint, doc long, s int, w int"
+#: Differing neighbourhoods of one 32-gram that a single task compares; beyond it, windows are dealt one by one.
+HOT = 4096
+ROWS = pa.schema([("k", pa.int64()), ("x", pa.int64()), ("doc", pa.int64()), ("sw", pa.int64())])
+ROWS_SQL = "k long, x long, doc long, sw long"
+MARKS = pa.schema([("f", pa.int8()), ("doc", pa.int64()), ("s", pa.int32()), ("w", pa.int32()), ("h", pa.int64())])
+MARKS_SQL = "f tinyint, doc long, s int, w int, h long"
+WINDOWS = pa.schema([("k", pa.int64()), ("f", pa.int8()), ("x", pa.int64()), ("doc", pa.int64()), ("s", pa.int32()), ("w", pa.int32()), ("b", pa.binary())])
+WINDOWS_SQL = "k long, f tinyint, x long, doc long, s int, w int, b binary"
 #: Kinds of rows: an occurrence dealt by its 32-gram; one dealt by its neighbourhood; a note that a 32-gram has several neighbourhoods; a settled mark.
 BY_GRAM, BY_CONTEXT, NOTE, MARK = 0, 1, 2, 3
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
@@ -95,10 +100,10 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64) if x.dtype == np.uint64 else x
 
 
-def _rows(**cols: np.ndarray) -> pa.RecordBatch:
-    n = len(cols["doc"])
-    full = {name: cols.get(name, np.zeros(n, np.int64)) for name in ROWS.names}
-    return pa.RecordBatch.from_arrays([pa.array(np.asarray(full[x.name]).astype(x.type.to_pandas_dtype(), copy=False)) for x in ROWS], schema=ROWS)
+def _rows(f: np.ndarray, k: np.ndarray, x: np.ndarray, doc: np.ndarray, s: np.ndarray, w: np.ndarray) -> pa.RecordBatch:
+    """Start, width and kind share one word: 32, 30 and 2 bits."""
+    sw = (s.astype(np.int64) << 32) | (w.astype(np.int64) << 2) | f
+    return pa.RecordBatch.from_arrays([pa.array(y.astype(np.int64, copy=False)) for y in (k, x, doc, sw)], schema=ROWS)
 
 
 def _runs(*keys: np.ndarray) -> np.ndarray:
@@ -140,13 +145,14 @@ def _local(h: np.ndarray, c: np.ndarray, doc: np.ndarray, s: np.ndarray, w: np.n
     late = later_copies(new_hc, doc, s)
     many = np.add.reduceat(new_hc.astype(np.int64), np.flatnonzero(new_h)) > 1
     flagged = np.repeat(many, np.diff(np.append(np.flatnonzero(new_h), len(h))))
-    yield _rows(k=np.where(flagged, c, h)[new_hc], f=flagged[new_hc], h=h[new_hc], c=c[new_hc], doc=doc[new_hc], s=s[new_hc], w=w[new_hc])
+    fl, zero = flagged[new_hc], np.zeros(len(h), np.int64)
+    yield _rows(fl.astype(np.int64), np.where(fl, c[new_hc], h[new_hc]), np.where(fl, h[new_hc], c[new_hc]), doc[new_hc], s[new_hc], w[new_hc])
     note = new_h & flagged
     if note.any():
-        yield _rows(k=h[note], f=np.full(int(note.sum()), NOTE), h=h[note], doc=doc[note])
+        yield _rows(np.full(int(note.sum()), NOTE), h[note], zero[note], doc[note], zero[note], zero[note])
     if late.any():
         d, a, b = merged(doc[late], s[late], w[late])
-        yield _rows(k=_signed(mix64(d.astype(np.uint64))), f=np.full(len(d), MARK), doc=d, s=a, w=b)
+        yield _rows(np.full(len(d), MARK), _signed(mix64(d.astype(np.uint64))), np.zeros(len(d), np.int64), d, a, b)
 
 
 def anchor_rows(length: int, flush: int):
@@ -192,103 +198,137 @@ def by_key(batches: Iterator[pa.RecordBatch], settle) -> Iterator[pa.RecordBatch
         yield from settle(*rest)
 
 
-MARKS = pa.schema([("f", pa.int8()), ("doc", pa.int64()), ("s", pa.int32()), ("w", pa.int32())])
-
-
-def _marks(f: int, doc: np.ndarray, s: np.ndarray, w: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), f, np.int8)), pa.array(doc.astype(np.int64)), pa.array(s.astype(np.int32)), pa.array(w.astype(np.int32))], schema=MARKS)
+def _marks(f: int, doc: np.ndarray, s: np.ndarray, w: np.ndarray, h: np.ndarray | None = None) -> pa.RecordBatch:
+    h = np.zeros(len(doc), np.int64) if h is None else h
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), f, np.int8)), pa.array(doc.astype(np.int64)), pa.array(s.astype(np.int32)), pa.array(w.astype(np.int32)), pa.array(h)], schema=MARKS)
 
 
 def settle_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Marks (f = MARK) for neighbourhoods that occur earlier; window ranges (f = BY_CONTEXT) for the first of those whose 32-gram has others."""
 
-    def settle(k, f, h, c, doc, s, w):
+    def settle(k, x, doc, sw):
+        f, s, w = sw & 3, sw >> 32, (sw >> 2) & 0x3FFFFFFF
         done = f == MARK
         if done.any():
             yield _marks(MARK, doc[done], s[done], w[done])
-        many_note = np.unique(h[f == NOTE])
+        noted = np.unique(k[f == NOTE])
         live = f < NOTE
-        h, c, doc, s, w, f = (x[live] for x in (h, c, doc, s, w, f))
-        if not len(h):
+        k, x, doc, s, w, f = (y[live] for y in (k, x, doc, s, w, f))
+        if not len(k):
             return
+        flip = f == BY_CONTEXT
+        h, c = np.where(flip, x, k), np.where(flip, k, x)
         order = np.lexsort((s, doc, c, h))
-        h, c, doc, s, w, f = (x[order] for x in (h, c, doc, s, w, f))
+        h, c, doc, s, w, f = (y[order] for y in (h, c, doc, s, w, f))
         new_h, new_hc = _runs(h), _runs(h, c)
         late = later_copies(new_hc, doc, s)
         if late.any():
             yield _marks(MARK, doc[late], s[late], w[late])
         heads = np.flatnonzero(new_h)
         several = np.add.reduceat(new_hc.astype(np.int64), heads) > 1
-        several |= np.isin(h[heads], many_note)
+        several |= np.isin(h[heads], noted)
         several |= np.maximum.reduceat(f, heads) == BY_CONTEXT
         edge = new_hc & np.repeat(several, np.diff(np.append(heads, len(h))))
         if edge.any():
-            yield _marks(BY_CONTEXT, doc[edge], s[edge], w[edge])
+            yield _marks(BY_CONTEXT, doc[edge], s[edge], w[edge], h[edge])
 
     yield from by_key(batches, settle)
 
 
+def _prints(codes: np.ndarray, here: np.ndarray, length: int) -> list[np.ndarray]:
+    """Two independent fingerprints of the `length` bytes from each place."""
+    out = []
+    for seed in (2, 3):
+        g = _grams(codes, seed, 64)
+        out.append(_signed(mix64(g[64][here] * ODD[1] + g[32][here + 64] * ODD[2] + g[32][here + length - 32] * ODD[3])))
+    return out
+
+
+def _windows(f, k, x, doc, s, w, b=None) -> pa.RecordBatch:
+    cols = [pa.array(np.asarray(y).astype(t.type.to_pandas_dtype(), copy=False)) for y, t in zip((k, f, x, doc, s, w), WINDOWS, strict=False)]
+    return pa.RecordBatch.from_arrays([*cols, b if b is not None else pa.nulls(len(doc), pa.binary())], schema=WINDOWS)
+
+
 def _one_window_each(f1, f2, doc, s) -> Iterator[pa.RecordBatch]:
     order = np.lexsort((s, doc, f2, f1))
     f1, f2, doc, s = (x[order] for x in (f1, f2, doc, s))
     new = _runs(f1, f2)
     late = later_copies(new, doc, s)
-    yield _rows(k=f1[new], f=np.full(int(new.sum()), BY_CONTEXT), h=f1[new], c=f2[new], doc=doc[new], s=s[new])
+    n = int(new.sum())
+    yield _windows(np.full(n, BY_GRAM), f1[new], f2[new], doc[new], s[new], np.zeros(n, np.int64))
     if late.any():
         d, a, b = merged(doc[late], s[late], np.zeros(int(late.sum()), np.int64))
-        yield _rows(k=_signed(mix64(d.astype(np.uint64))), f=np.full(len(d), MARK), doc=d, s=a, w=b)
+        yield _windows(np.full(len(d), MARK), _signed(mix64(d.astype(np.uint64))), np.zeros(len(d), np.int64), d, a, b)
 
 
-def window_rows(length: int):
-    """Fingerprints of the window at each start of the ranges that a document brings along."""
+def window_rows(key_at: int, text_at: int, ranges_at: int, length: int):
+    """For the ranges that a document brings along: their bytes, dealt by 32-gram, or the fingerprint of each window where the 32-gram is hot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
         for batch in batches:
-            docs = batch.column(0).to_numpy(zero_copy_only=False)
-            data, offsets = utf8_view(batch.column(1))
-            ranges = batch.column(2)
+            docs = batch.column(key_at).to_numpy(zero_copy_only=False)
+            data, offsets = utf8_view(batch.column(text_at))
+            ranges = batch.column(ranges_at)
             at = ranges.offsets.to_numpy().astype(np.int64)
-            at = at - at[0]
             flat = ranges.flatten()
-            rs, rw = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+            at = at - at[0]
+            rs, rw, rh, hot = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+            rs, rw, hot = rs.astype(np.int64), rw.astype(np.int64), hot.astype(bool)
+            own = np.repeat(np.arange(len(batch)), np.diff(at))
+            cold = np.flatnonzero(~hot)
+            for part in np.array_split(cold, max(1, len(cold) // 100_000)):
+                n = rw[part] + length
+                whole = data[repeat_ranges(offsets[own[part]] + rs[part], n)]
+                ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                blobs = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(ends), pa.py_buffer(whole)])
+                yield _windows(np.full(len(part), BY_CONTEXT), rh[part], np.zeros(len(part), np.int64), docs[own[part]], rs[part], rw[part], blobs)
+            if not hot.any():
+                continue
             for i, j in text_chunks(offsets):
+                mine = slice(at[i], at[j])
+                a, n, o = rs[mine][hot[mine]], rw[mine][hot[mine]] + 1, own[mine][hot[mine]]
+                if not len(a):
+                    continue
                 codes, starts = _padded(data, offsets[i : j + 1], length)
-                own = np.repeat(np.arange(i, j), np.diff(at[i : j + 1]))
-                a, n = rs[at[i] : at[j]], rw[at[i] : at[j]] + 1
-                s = repeat_ranges(a, n)
-                own = np.repeat(own, n)
-                here = starts[own - i] + s
-                pair = []
-                for seed in (2, 3):
-                    g = _grams(codes, seed, 64)
-                    pair.append(_signed(mix64(g[64][here] * ODD[1] + g[32][here + 64] * ODD[2] + g[32][here + length - 32] * ODD[3])))
-                held.append((*pair, docs[own], s))
+                s, o = repeat_ranges(a, n), np.repeat(o, n)
+                held.append((*_prints(codes, starts[o - i] + s, length), docs[o], s))
                 size += len(s)
-                if size >= 2_000_000:
+                if size >= 1_000_000:
                     yield from _one_window_each(*(np.concatenate(x) for x in zip(*held, strict=True)))
                     held, size = [], 0
-        if held and size:
+        if held:
             yield from _one_window_each(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
     return run
 
 
-def settle_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def settle(k, f, h, c, doc, s, w):
+def settle_windows(length: int):
+    """Order all windows of a key by their first bytes and mark those with an earlier one."""
+
+    def settle(k, f, x, doc, s, w, b):
         done = f == MARK
         if done.any():
             yield _marks(MARK, doc[done], s[done], w[done])
-        h, c, doc, s = (x[~done] for x in (h, c, doc, s))
-        order = np.lexsort((s, doc, c, h))
-        h, c, doc, s = (x[order] for x in (h, c, doc, s))
-        late = later_copies(_runs(h, c), doc, s)
+        one = f == BY_GRAM
+        f1, f2, doc1, s1 = k[one], x[one], doc[one], s[one].astype(np.int64)
+        many = np.flatnonzero(f == BY_CONTEXT)
+        if len(many):
+            n = w[many].astype(np.int64) + 1
+            size = n + length - 1
+            ends = np.cumsum(size)
+            codes = np.append(np.frombuffer(b"".join(b[many]), np.uint8), np.zeros(64, np.uint8)).astype(np.uint16)
+            g1, g2 = _prints(codes, repeat_ranges(ends - size, n), length)
+            f1, f2 = np.concatenate([f1, g1]), np.concatenate([f2, g2])
+            doc1, s1 = np.concatenate([doc1, np.repeat(doc[many], n)]), np.concatenate([s1, repeat_ranges(s[many].astype(np.int64), n)])
+        order = np.lexsort((s1, doc1, f2, f1))
+        f1, f2, doc1, s1 = (y[order] for y in (f1, f2, doc1, s1))
+        late = later_copies(_runs(f1, f2), doc1, s1)
         if late.any():
-            d, a, b = merged(doc[late], s[late], np.zeros(int(late.sum()), np.int64))
-            yield _marks(MARK, d, a, b)
+            yield _marks(MARK, *merged(doc1[late], s1[late], np.zeros(int(late.sum()), np.int64)))
 
-    yield from by_key(batches, settle)
+    return lambda batches: by_key(batches, settle)
 
 
 def cut_rows(text_at: int, marks_at: int, length: int, schema: pa.Schema):
@@ -337,12 +377,15 @@ def remove_repeats(docs: DataFrame, length: int = 100, spans: str = "removed_spa
     n = partitions(spark)
     key, marks = fresh(docs, "doc_key"), fresh(docs, "marks")
     keyed = docs.withColumn(key, doc_key(docs))
-    texts = keyed.select(F.col(key).alias("doc"), "text")
-    first = texts.mapInArrow(anchor_rows(length, FLUSH), ROWS_SQL).repartition(n, "k").sortWithinPartitions("k")
+    first = keyed.select(key, "text").mapInArrow(anchor_rows(length, FLUSH), ROWS_SQL).repartition(n, "k").sortWithinPartitions("k")
     settled = materialise(first.mapInArrow(settle_anchors, MARKS_SQL), "anchors")
-    ranges = settled.where(F.col("f") == BY_CONTEXT).groupBy("doc").agg(F.collect_list(F.struct("s", "w")).alias("r"))
-    more = texts.join(ranges.hint("shuffle_hash"), "doc").mapInArrow(window_rows(length), ROWS_SQL).repartition(n, "k").sortWithinPartitions("k").mapInArrow(settle_windows, MARKS_SQL)
-    found = settled.where(F.col("f") == MARK).unionByName(more).groupBy(F.col("doc").alias(key)).agg(F.collect_list(F.struct("s", "w")).alias(marks))
+    edges = settled.where(F.col("f") == BY_CONTEXT).drop("f")
+    hot = edges.groupBy("h").count().where(F.col("count") > HOT).select("h", F.lit(True).alias("hot"))
+    ranges = edges.join(hot, "h", "left").groupBy(F.col("doc").alias(key)).agg(F.collect_list(F.struct("s", "w", "h", F.coalesce("hot", F.lit(False)).alias("hot"))).alias(marks))
+    wide = keyed.join(ranges.hint("shuffle_hash"), key)  # the exchange of the texts is the one of the join below
+    at = [wide.columns.index(x) for x in (key, "text", marks)]
+    more = wide.mapInArrow(window_rows(*at, length), WINDOWS_SQL).repartition(n, "k").sortWithinPartitions("k").mapInArrow(settle_windows(length), MARKS_SQL)
+    found = settled.where(F.col("f") == MARK).unionByName(more).drop("h", "f").groupBy(F.col("doc").alias(key)).agg(F.collect_list(F.struct("s", "w")).alias(marks))
     joined = keyed.join(found.hint("shuffle_hash"), key, "left").select(*docs.columns, marks)
     from pyspark.sql.pandas.types import to_arrow_schema
 

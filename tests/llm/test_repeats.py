@@ -62,9 +62,11 @@ def test_odd_cases(spark):
     check(spark, rows)
 
 
-def test_small_flushes(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [1, 4096])
+def test_small_flushes(spark, monkeypatch, hot):
     """Several batches, each ordered on its own, give what one gives."""
     monkeypatch.setattr(repeats, "FLUSH", 1)
+    monkeypatch.setattr(repeats, "HOT", hot)
     rnd = random.Random(5)
     words = ["".join(rnd.choice("abcdefg") for _ in range(rnd.randrange(2, 9))) for _ in range(40)]
     parts = [" ".join(rnd.choice(words) for _ in range(40)) for _ in range(12)]
