@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from .jaccard import op2_ngram_jaccard
 from .repeats import op1_suffix_repeats
 
 QUERIES = {
     "op1_suffix_repeats": op1_suffix_repeats,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {}
