@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from .bpe import op5_byte_bpe
 from .jaccard import op2_ngram_jaccard
+from .packing import op6_best_fit_packing
 from .repeats import op1_suffix_repeats
 
 QUERIES = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op6_best_fit_packing": op6_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
