@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from .bpe import op5_byte_bpe
 from .jaccard import op2_ngram_jaccard
+from .langid import op7_language_id
+from .order_minhash import op3_order_minhash
 from .packing import op6_best_fit_packing
+from .quality import op10_quality
 from .repeats import op1_suffix_repeats
+from .secrets import op4_secret_scan
 
 QUERIES = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_order_minhash": op3_order_minhash,
+    "op4_secret_scan": op4_secret_scan,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_language_id": op7_language_id,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
