@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe import op5_byte_bpe
 from .jaccard import op2_ngram_jaccard
 from .langid import op7_language_id
+from .media import op9_progressive_jpeg
 from .order_minhash import op3_order_minhash
 from .packing import op6_best_fit_packing
 from .quality import op10_quality
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_language_id": op7_language_id,
+    "op9_progressive_jpeg": op9_progressive_jpeg,
     "op10_quality": op10_quality,
 }
 
