@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from . import licences
 from .bpe import op5_byte_bpe
 from .jaccard import op2_ngram_jaccard
 from .langid import op7_language_id
+from .licences import op8_license_scan
 from .media import op9_progressive_jpeg
 from .order_minhash import op3_order_minhash
 from .packing import op6_best_fit_packing
@@ -20,8 +22,11 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_language_id": op7_language_id,
+    "op8_license_scan": op8_license_scan,
     "op9_progressive_jpeg": op9_progressive_jpeg,
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_license_scan": licences.oracle(),
+}
