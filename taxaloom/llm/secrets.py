@@ -44,32 +44,47 @@ def _places(text: Column, pattern: str) -> tuple[Column, Column]:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
 
 
-def _spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
-    """Spans of the pattern's matches; keep(index) says which matches count."""
+def _bound(value: Column, body) -> Column:
+    """body(value) with the value computed once: a lambda's free expressions are computed at each of its calls."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _numbers(n: Column) -> Column:
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def _spans(text: Column, pattern: str, kind: int, keep: int | None = None) -> Column:
+    """Spans of the pattern's matches; with keep, of those whose second group has so many characters."""
     matches, gaps = _places(text, pattern)
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if keep else F.lit(None)
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
 
-    def step(acc, i):
-        a = acc["at"] + F.length(F.get(gaps, i))
-        b = a + F.length(F.get(matches, i))
-        span = F.struct(a.cast("bigint").alias("start"), F.lit(kind).alias("kind"), b.cast("bigint").alias("end"))
-        grown = F.array_append(acc["out"], span)
-        return F.struct(b.cast("bigint").alias("at"), (F.when(keep(i), grown).otherwise(acc["out"]) if keep else grown).alias("out"))
+    def found(all_: Column) -> Column:
+        def step(acc, i):
+            a = acc["at"] + F.length(F.get(all_["gaps"], i))
+            b = a + F.length(F.get(all_["matches"], i))
+            span = F.struct(a.cast("bigint").alias("start"), F.lit(kind).alias("kind"), b.cast("bigint").alias("end"))
+            grown = F.array_append(acc["out"], span)
+            out = F.when(F.length(F.get(all_["values"], i)) >= keep, grown).otherwise(acc["out"]) if keep else grown
+            return F.struct(b.cast("bigint").alias("at"), out.alias("out"))
 
-    numbers = F.when(F.size(matches) > 0, F.sequence(F.lit(0), F.size(matches) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(numbers, start, step, lambda acc: acc["out"])
+        return F.aggregate(_numbers(F.size(all_["matches"])), start, step, lambda acc: acc["out"])
+
+    return _bound(F.struct(matches.alias("matches"), gaps.alias("gaps"), values.alias("values")), found)
 
 
 def _entropy_spans(text: Column, kind: int, charset: str, shortest: int, window: int, threshold: float) -> Column:
     """Spans of windows of high entropy within candidates of one class."""
-    runs = rf"(?<![{charset}])[{charset}]{{{shortest},}}"
-    matches, gaps = _places(text, runs)
-    f = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 1)))
+    matches, gaps = _places(text, _runs(charset, shortest))
+    table = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 1)))
     least = window * (math.log2(window) - threshold)  # entropy >= threshold as long as the sum of c log2 c is no more
     count = lambda s, x: F.length(s) - F.length(F.replace(s, x, F.lit("")))
     empty = F.array().cast(f"array<{SPAN}>")
 
-    def scan(piece: Column, at: Column) -> Column:
+    def span(a, b):
+        return F.struct(a.alias("start"), F.lit(kind).alias("kind"), b.alias("end"))
+
+    def scan(piece: Column, at: Column, f: Column) -> Column:
         """Spans of one piece whose first character stands at `at`."""
         zero = F.struct(F.lit(0.0).alias("s"), F.lit(-1).cast("bigint").alias("a"), F.lit(-1).cast("bigint").alias("b"), empty.alias("out"))
 
@@ -77,24 +92,23 @@ def _entropy_spans(text: Column, kind: int, charset: str, shortest: int, window:
             inner = F.substr(piece, F.greatest(i - window + 1, F.lit(0)) + 1, F.least(i, F.lit(window - 1)))
             new, old = F.substr(piece, i + 1, F.lit(1)), F.substr(piece, i - window + 1, F.lit(1))
             leaves = i >= window
-            b = F.when(leaves, count(inner, old))
-            s = acc["s"] - F.when(leaves, F.get(f, b + 1) - F.get(f, b)).otherwise(F.lit(0.0))
-            a = count(inner, new)
-            s = s + F.get(f, a + 1) - F.get(f, a)
-            high = (i >= window - 1) & (s <= least + 1e-9)
-            start, end = (at + i - window + 1).cast("bigint"), (at + i + 1).cast("bigint")
-            more = high & (acc["a"] >= 0) & (start <= acc["b"])
-            done = F.when(high & ~more & (acc["a"] >= 0), F.array_append(acc["out"], span(acc["a"], acc["b"]))).otherwise(acc["out"])
-            return F.struct(s.alias("s"), F.when(high & ~more, start).otherwise(acc["a"]).alias("a"), F.when(high, end).otherwise(acc["b"]).alias("b"), done.alias("out"))
+            s = acc["s"] - F.when(leaves, _bound(count(inner, old), lambda b: F.get(f, b + 1) - F.get(f, b))).otherwise(F.lit(0.0))
+            s = s + _bound(count(inner, new), lambda a: F.get(f, a + 1) - F.get(f, a))
 
-        return F.aggregate(F.sequence(F.lit(0), F.length(piece) - 1), zero, step, lambda acc: F.when(acc["a"] >= 0, F.array_append(acc["out"], span(acc["a"], acc["b"]))).otherwise(acc["out"]))
+            def after(s):
+                high = (i >= window - 1) & (s <= least + 1e-9)
+                start, end = (at + i - window + 1).cast("bigint"), (at + i + 1).cast("bigint")
+                more = high & (acc["a"] >= 0) & (start <= acc["b"])
+                done = F.when(high & ~more & (acc["a"] >= 0), F.array_append(acc["out"], span(acc["a"], acc["b"]))).otherwise(acc["out"])
+                return F.struct(s.alias("s"), F.when(high & ~more, start).otherwise(acc["a"]).alias("a"), F.when(high, end).otherwise(acc["b"]).alias("b"), done.alias("out"))
 
-    def span(a, b):
-        return F.struct(a.alias("start"), F.lit(kind).alias("kind"), b.alias("end"))
+            return _bound(s, after)
+
+        return F.aggregate(F.sequence(F.lit(0), F.length(piece) - 1), zero, step, lambda acc: F.when(acc["a"] >= 0, F.array_append(acc["out"], span(acc["a"], acc["b"]))).otherwise(acc["out"]))
 
-    def of(match: Column, at: Column) -> Column:
-        last = F.length(match) - window
-        found = F.flatten(F.transform(F.sequence(F.lit(0), last, F.lit(STEP)), lambda o: scan(F.substr(match, o + 1, F.lit(STEP + window - 1)), at + o)))
+    def of(match: Column, at: Column, f: Column) -> Column:
+        steps = F.sequence(F.lit(0), F.length(match) - window, F.lit(STEP))
+        found = F.flatten(F.transform(steps, lambda o: _bound(F.substr(match, o + 1, F.lit(STEP + window - 1)), lambda piece: scan(piece, at + o, f))))
         joined = F.aggregate(  # spans that overlapping steps have cut are one again
             found,
             empty,
@@ -107,27 +121,32 @@ def _entropy_spans(text: Column, kind: int, charset: str, shortest: int, window:
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out"))
 
-    def step(acc, i):
-        a = acc["at"] + F.length(F.get(gaps, i))
-        m = F.get(matches, i)
-        return F.struct((a + F.length(m)).cast("bigint").alias("at"), F.concat(acc["out"], of(m, a)).alias("out"))
+    def all_spans(all_: Column) -> Column:
+        def step(acc, i):
+            a = acc["at"] + F.length(F.get(all_["gaps"], i))
+            m = F.get(all_["matches"], i)
+            return F.struct((a + F.length(m)).cast("bigint").alias("at"), F.concat(acc["out"], of(m, a, all_["f"])).alias("out"))
+
+        return F.aggregate(_numbers(F.size(all_["matches"])), start, step, lambda acc: acc["out"])
+
+    return _bound(F.struct(matches.alias("matches"), gaps.alias("gaps"), table.alias("f")), all_spans)
+
 
-    numbers = F.sequence(F.lit(0), F.size(matches) - 1)
-    return F.when(text.rlike(runs), F.aggregate(numbers, start, step, lambda acc: acc["out"])).otherwise(empty)
+def _runs(charset: str, shortest: int) -> str:
+    return rf"(?<![{charset}])[{charset}]{{{shortest},}}"
 
 
 def scan_text(text: Column) -> tuple[Column, Column]:
     """Base spans and entropy spans of a text: arrays of (start, kind, end), kind by its place in KINDS."""
     text = F.coalesce(text, F.lit(""))
-    values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
     none = F.array().cast(f"array<{SPAN}>")
     when = lambda pattern, spans: F.when(text.rlike(pattern), spans).otherwise(none)
     base = F.concat(
-        when(ASSIGN, _spans(text, ASSIGN, 0, lambda i: F.length(F.get(values, i)) >= ASSIGN_LEAST)),
+        when(ASSIGN, _spans(text, ASSIGN, 0, ASSIGN_LEAST)),
         when(ACCESS, _spans(text, ACCESS, 1)),
         when(HEX, _spans(text, HEX, 2)),
     )
-    entropy = F.concat(*(_entropy_spans(text, 3 + i, *c[1:]) for i, c in enumerate(CLASSES)))
+    entropy = F.concat(*(when(_runs(c[1], c[2]), _entropy_spans(text, 3 + i, *c[1:])) for i, c in enumerate(CLASSES)))
     return base, entropy
 
 
