@@ -339,7 +339,7 @@ def find_places(asked: DataFrame, places: DataFrame, threshold: float = 0.8) ->
         score = 1 - F.levenshtein(F.col("norm"), F.col("found")) / longest
         long_enough = rest.where(F.length(F.replace("norm", F.lit(" "), F.lit(""))) >= 4).withColumn("p", F.left("norm", F.lit(3)))
         hit = long_enough.join(known.withColumn("p", F.left("found", F.lit(3))), "p").where(F.length("found").between(F.length("norm") * threshold - 1e-9, F.length("norm") / threshold + 1e-9))
-        each = F.forall(F.arrays_zip(F.split("norm", " ").alias("a"), F.split("found", " ").alias("b")), lambda w: F.coalesce(1 - F.levenshtein(w["a"], w["b"]) / F.greatest(F.length(w["a"]), F.length(w["b"])) >= 0.6, F.lit(False)))
+        each = F.forall(F.arrays_zip(F.split("norm", " ").alias("a"), F.split("found", " ").alias("b")), lambda w: F.coalesce(1 - F.levenshtein(w["a"], w["b"]) / F.greatest(F.length(w["a"]), F.length(w["b"])) >= threshold, F.lit(False)))
         return hit.withColumn("similarity", score).where((F.col("similarity") >= threshold) & each).select("id", "place_id", F.lit(how).alias("match"), "similarity")
 
     out, rest = None, rows

@@ -29,7 +29,7 @@ def quality_conditions(flags: list[str] | None = None) -> dict[str, Column]:
         "no species": F.col("species").isNotNull(),
         "no latitude": F.col("decimallatitude").isNotNull(),
         "no longitude": F.col("decimallongitude").isNotNull(),
-        "flagged": ~F.arrays_overlap(F.coalesce("issue", none), F.array(*map(F.lit, flags or BAD_FLAGS))),
+        "flagged": ~F.coalesce(F.arrays_overlap(F.coalesce("issue", none), F.array(*map(F.lit, flags or BAD_FLAGS))), F.lit(False)),
     }
 
 

@@ -48,7 +48,7 @@ def headless(spark: SparkSession, path: str, schema: str, sep: str = "\t") -> Da
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a text file with their numbers from 1, in file order: the file is one row until it is cut."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n", -1)).alias("n", "line")).select((F.col("n") + 1).alias("file_row"), "line")
 
 
