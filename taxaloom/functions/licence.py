@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 #: Texts that mean the Public Domain Mark, in plain form.
 PUBLIC_DOMAIN = ["public domain", "cc pdm 1 0", "public domain mark", "public domain mark 1 0", "pdm 1 0"]
-#: Codes that can be shown.
-READABLE = r"CC0_1_0|PDM_1_0|CC_BY(_NC)?(_SA|_ND)?(_[0-9]+_[0-9]+)?"
+#: Codes that can be shown: a code without a version names no licence text.
+READABLE = r"CC0_1_0|PDM_1_0|CC_BY(_NC)?(_SA|_ND)?_[0-9]+_[0-9]+"
 #: Best licence first.
 RANKS = ["CC0", "PDM", "CC_BY", "CC_BY_SA", "CC_BY_NC", "CC_BY_NC_SA", "CC_BY_ND", "CC_BY_NC_ND"]
 
@@ -58,7 +58,7 @@ def licence_label(code: Column) -> Column:
 
 
 def licence_url(code: Column) -> Column:
-    version = F.coalesce(F.nullif(F.replace(F.regexp_extract(code, r"_([0-9]+_[0-9]+)$", 1), F.lit("_"), F.lit(".")), F.lit("")), F.lit("4.0"))
+    version = F.nullif(F.replace(F.regexp_extract(code, r"_([0-9]+_[0-9]+)$", 1), F.lit("_"), F.lit(".")), F.lit(""))
     kind = F.lower(F.replace(F.regexp_extract(code, r"^CC_(BY(?:_[A-Z]{2})*)", 1), F.lit("_"), F.lit("-")))
     return (
         F.when(code == "CC0_1_0", F.lit("https://creativecommons.org/publicdomain/zero/1.0/"))

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaloom.functions import dates, geo, licence
+from taxaloom.functions import dates, geo, licence, links
 from taxaloom.functions import text as tx
 from taxaloom.operators import catalogue as cat
-from taxaloom.operators import checks, evaluation, grid, polygons, species
+from taxaloom.operators import authors, checks, evaluation, grid, places, polygons, species, statuses
 from taxaloom.operators import relational as rel
 from taxaloom.plans import datasets
 from taxaloom.plans.driver_base import DUCK_NORM, Roles, sql
@@ -359,14 +359,14 @@ def license_codes(r):
     return texts.select("license", licence.licence_code(F.col("license")).alias("code"), "images")
 
 
-@query(f"SELECT p_partkey, (p_partkey % 13 <> 0 AND p_partkey % 6 <> 0 AND CASE p_partkey % {len(LICENCES)} {_CODE_CASE} END IS NOT NULL) AS shown FROM part")
+@query(f"SELECT p_partkey, (p_partkey % 13 <> 0 AND p_partkey % 6 <> 0 AND coalesce(CASE p_partkey % {len(LICENCES)} {_CODE_CASE} END, 'CC_BY_SA') <> 'CC_BY_SA') AS shown FROM part")
 def credit_check(r):
     rows = _licensed(r).withColumns({"link": F.when(F.col("p_partkey") % 13 == 0, "  ").otherwise("http://x"), "creator": F.when(F.col("p_partkey") % 6 != 0, "A")})
     return rows.select("p_partkey", licence.may_be_shown(F.lit("u"), F.col("link"), F.col("creator"), licence.licence_code(F.col("license"))).alias("shown"))
 
 
 @query(
-    f"""SELECT specieskey, gbifid, license_rank FROM (SELECT 'K' || l_partkey AS specieskey, l_orderkey * 10 + l_linenumber AS gbifid, CAST(CASE l_orderkey % {len(LICENCES)} WHEN 0 THEN 3 WHEN 1 THEN 5 WHEN 2 THEN 4 WHEN 3 THEN 1 WHEN 4 THEN 2 WHEN 5 THEN 8 WHEN 6 THEN 6 WHEN 10 THEN 1 END AS INTEGER) AS license_rank, l_shipdate FROM lineitem) WHERE license_rank IS NOT NULL
+    f"""SELECT specieskey, gbifid, license_rank FROM (SELECT 'K' || l_partkey AS specieskey, l_orderkey * 10 + l_linenumber AS gbifid, CAST(CASE l_orderkey % {len(LICENCES)} WHEN 0 THEN 3 WHEN 1 THEN 5 WHEN 3 THEN 1 WHEN 4 THEN 2 WHEN 5 THEN 8 WHEN 6 THEN 6 WHEN 10 THEN 1 END AS INTEGER) AS license_rank, l_shipdate FROM lineitem) WHERE license_rank IS NOT NULL
     QUALIFY row_number() OVER (PARTITION BY specieskey ORDER BY license_rank, l_shipdate DESC, gbifid) = 1"""
 )
 def species_image_pick(r):
@@ -748,3 +748,93 @@ def taxa_in_text(r):
     """Span claiming has no SQL; tests hold it against written cases."""
     text = F.concat(F.lit("Canis lupus and Ursus sp. near "), F.substring("text", 1, 80))
     return r.table("documents").select("doc_id", F.explode(cat.taxa_in_text(text, {"Canis", "Ursus"}, set(), {"lupus"})).alias("t")).select("doc_id", "t.name", "t.tier")
+
+
+_STATUS = "CASE p_size % 4 WHEN 0 THEN 'Red' WHEN 1 THEN 'Blue' WHEN 2 THEN 'Yellow' ELSE 'No Status' END"
+
+
+@query(
+    f"""WITH e AS (SELECT p_partkey % 300 AS k, {_STATUS} AS status, p_name AS label, bool_or(p_size % 3 = 0) AS level, count(*) AS codes, CASE p_size % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 7 END AS place FROM part GROUP BY 1, 2, 3, 6)
+    SELECT k AS gbif_species_key, string_agg(status || ': ' || label, '; ' ORDER BY NOT level, place, label) AS status_display, count(*) > 1 AS has_multiple, count(*) FILTER (WHERE level) >= 2 AS has_separate_bcsee_species, CAST(sum(codes) AS INTEGER) AS codes FROM e GROUP BY 1"""
+)
+def status_nesting(r):
+    status = F.element_at(F.array(*map(F.lit, ["Red", "Blue", "Yellow", "No Status"])), (F.col("p_size") % 4 + 1).cast("int"))
+    rows = r.table("part").select((F.col("p_partkey") % 300).alias("gbif_species_key"), F.lit("s").alias("species_name"), status.alias("status"), F.col("p_name").alias("scientific_label"), F.lit("GBIF").alias("name_source"), F.lit("").alias("common_label"), (F.col("p_size") % 3 == 0).alias("is_species_level"), F.lit(False).alias("is_gbif_synonym"), F.col("p_brand").alias("matched_species_key"), F.col("p_partkey").cast("string").alias("element_code"))
+    return statuses.nested(rows).select("gbif_species_key", "status_display", "has_multiple", "has_separate_bcsee_species", F.size("element_codes").alias("codes"))
+
+
+@query("SELECT p_partkey, (p_partkey % 4 <> 0 AND (p_size % 4 = 0 OR (p_size % 4 = 1 AND p_size % 3 = 0)) AND p_brand NOT IN ('Brand#1', 'Brand#2')) AS join_ok, (p_size % 4 = 2 OR p_brand IN ('Brand#1', 'Brand#2') OR (p_size % 4 = 1 AND p_size % 3 = 1)) AS needs_review FROM part")
+def status_match_flags(r):
+    pick = lambda values, c: F.element_at(F.array(*map(F.lit, values)), (c + 1).cast("int"))
+    rows = r.table("part").select("p_partkey", F.when(F.col("p_partkey") % 4 != 0, "k").alias("gbif_species_key"), pick(["EXACT", "HIGHERRANK", "VARIANT", "NONE"], F.col("p_size") % 4).alias("gbif_match_type"), F.lit("SPECIES").alias("gbif_rank"), pick(["Subspecies", "Species", "Genus"], F.col("p_size") % 3).alias("classification_level"), F.when(F.col("p_brand").isin("Brand#1", "Brand#2"), "DOUBTFUL").otherwise("ACCEPTED").alias("gbif_status"), F.lit("Aus bus").alias("scientific_name"))
+    return statuses.with_flags(rows).select("p_partkey", "join_ok", "needs_review")
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'x ' ELSE '' END || split_part(p_name, ' ', 1) || CASE WHEN p_size % 3 = 1 THEN ' x' ELSE '' END || ' ' || split_part(p_name, ' ', 2) || CASE WHEN p_type = 'PROMO' THEN ' var.' ELSE '' END || ' alba' AS written FROM part")
+def written_names(r):
+    canonical = F.concat("p_name", F.lit(" alba"))
+    full = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("×"), canonical)).when(F.col("p_size") % 3 == 1, F.concat(F.lit("A × "), canonical)).otherwise(canonical)
+    return r.table("part").select("p_partkey", statuses.written_name(canonical, full, F.when(F.col("p_type") == "PROMO", "VARIETY"), F.lit("Plantae")).alias("written"))
+
+
+@query("SELECT doc_id, source, list_contains(flags, 'swapped') AS swapped, list_contains(flags, 'zero_width') AS zero_width, list_contains(flags, 'most_of_world') AS most_of_world FROM (SELECT doc_id, source, list_filter([CASE WHEN s > n OR (w > e AND NOT (w > 0 AND e < 0)) THEN 'swapped' END, CASE WHEN w = e OR s = n THEN 'zero_width' END, CASE WHEN (CASE WHEN w > 0 AND e < 0 THEN (e - w) + 360 ELSE abs(e - w) END) / 360 * abs(n - s) / 180 >= 0.9 THEN 'most_of_world' END], lambda x: x IS NOT NULL) AS flags FROM (SELECT doc_id, source, CAST(-180 + doc_id % 7 * 55 AS DOUBLE) AS w, CAST(180 - doc_id % 5 * 80 AS DOUBLE) AS e, CAST(-90 + doc_id % 3 * 40 AS DOUBLE) AS s, CAST(90 - doc_id % 11 * 14 AS DOUBLE) AS n FROM documents))")
+def box_flags(r):
+    k = F.col("doc_id")
+    edges = [(k % 7 * 55 - 180).cast("double"), (k % 3 * 40 - 90).cast("double"), (F.lit(180) - k % 5 * 80).cast("double"), (F.lit(90) - k % 11 * 14).cast("double")]
+    rows = r.table("documents").select("doc_id", "source", places.box_flags(*edges).alias("f"))
+    return rows.select("doc_id", "source", *(F.array_contains("f", x).alias(x) for x in ("swapped", "zero_width", "most_of_world")))
+
+
+@query("SELECT source, w, count(*) AS records FROM (SELECT DISTINCT doc_id, source, doc_id % 4 AS w FROM documents) GROUP BY 1, 2")
+def box_multiplicity(r):
+    box = F.struct((F.col("doc_id") % 4).alias("w"))
+    out = places.box_multiplicity(r.table("documents").select(F.col("doc_id").alias("id"), "source", F.array(box, box).alias("boxes")))
+    return out.select("source", F.col("box.w").alias("w"), "records")
+
+
+@query("SELECT conv_id AS id, n AS boxes, t AS boxes_touching_bc, CASE WHEN t > 0 THEN CASE WHEN i = n THEN 'touches_bc_all_inside' ELSE 'touches_bc_partly' END WHEN f > 0 OR n > u OR u = 0 THEN 'send_to_llm' ELSE 'entirely_outside' END AS \"group\" FROM (SELECT conv_id, count(*) AS n, count(*) FILTER (WHERE turn % 5 <> 4) AS u, count(*) FILTER (WHERE conv_id % 3 = 0 AND role = 'user') AS t, count(*) FILTER (WHERE conv_id % 3 = 0 AND conv_id % 2 = 0) AS i, count(*) FILTER (WHERE conv_id % 7 = 1) AS f FROM conversations GROUP BY 1)")
+def multi_box_groups(r):
+    c = r.table("conversations")
+    boxes = c.select(F.col("conv_id").alias("id"), (F.col("turn") % 5 != 4).alias("usable"), F.lit(False).alias("west_gt_east"), ((F.col("conv_id") % 3 == 0) & (F.col("role") == "user")).alias("touches"), (F.col("conv_id") % 6 == 0).alias("inside"), (F.col("conv_id") % 7 == 1).alias("flip_touches"))
+    return places.roll_up(c.select(F.col("conv_id").alias("id")).distinct(), boxes).drop("problems")
+
+
+@query("SELECT id, found AS places_found, CASE WHEN found = 0 THEN 'not_found' WHEN i > 0 AND found > i THEN 'both' WHEN i > 0 THEN 'in_bc_only' WHEN s > 0 THEN 'spans_bc_border' WHEN c > 0 THEN 'contains_bc' WHEN o > 0 THEN 'ocean_no_country' ELSE 'outside_bc_only' END AS category FROM (SELECT c_custkey AS id, count(o_orderkey) AS found, count(*) FILTER (WHERE o_orderkey % 5 = 0) AS i, count(*) FILTER (WHERE o_orderkey % 5 = 1) AS s, count(*) FILTER (WHERE o_orderkey % 5 = 2) AS c, count(*) FILTER (WHERE o_orderkey % 5 = 3) AS o FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderkey % 6 = 0 GROUP BY 1)")
+def place_summary(r):
+    kind = F.element_at(F.array(*map(F.lit, places.KINDS)), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    found = r.table("orders").where("o_orderkey % 6 = 0").select(F.col("o_custkey").alias("id"), kind.alias("kind"))
+    return places.summary(r.table("customer").select(F.col("c_custkey").alias("id")), found).select("id", "places_found", "category")
+
+
+@query("SELECT l_returnflag AS list, g AS publisher_group, count(*) AS records, count(*) FILTER (WHERE u IS NULL) AS no_uncertainty, count(*) FILTER (WHERE u < 100) AS under_100_m, count(*) FILTER (WHERE u BETWEEN 100 AND 9999) AS to_10_km, count(*) FILTER (WHERE u >= 10000) AS from_10_km, count(*) FILTER (WHERE d <= 2) AS two_decimals, count(*) FILTER (WHERE d >= 4) AS four_decimals FROM (SELECT l_returnflag, unnest([l_linestatus, 'all']) AS g, CASE WHEN l_linenumber = 1 THEN NULL ELSE l_orderkey * 7 % 20000 END AS u, l_linenumber AS d FROM lineitem) GROUP BY 1, 2")
+def sensitive_report(r):
+    li = r.table("lineitem")
+    records = li.select(F.col("l_returnflag").alias("specieskey"), F.col("l_linestatus").alias("publisher_group"), F.when(F.col("l_linenumber") != 1, F.col("l_orderkey") * 7 % 20000).alias("uncertainty"), F.col("l_linenumber").alias("decimals"))
+    listed = li.select(F.col("l_returnflag").alias("specieskey")).distinct().withColumn("list", F.col("specieskey"))
+    return places.sensitive_publishers(records, listed)
+
+
+@query("SELECT DISTINCT 'K' || p_partkey AS old_key, 'K' || (p_partkey // 10 * 10) AS kept_key, CASE WHEN p_partkey % 10 > 6 THEN 'not listed as a synonym' WHEN p_partkey % 10 IN (2, 5) THEN 'another author' WHEN p_partkey % 10 IN (3, 6) THEN 'ambiguous synonym' END AS problem FROM part WHERE p_partkey % 10 <> 0")
+def synonym_rule(r):
+    p = r.table("part").select("p_partkey", "p_name")
+    key = lambda c: F.concat(F.lit("K"), c.cast("string"))
+    kept = key(F.floor(F.col("p_partkey") / 10) * 10)
+    own = p.select(key(F.col("p_partkey")).alias("id"), F.lit(None).cast("string").alias("parent_id"), F.lit("accepted").alias("status"), key(F.col("p_partkey")).alias("scientific_name"), F.lit("A.").alias("authorship"))
+    digit = F.col("p_partkey") % 10
+    listed = p.where("p_partkey % 10 between 1 and 6").select(F.concat(F.lit("S"), F.col("p_partkey").cast("string")).alias("id"), kept.alias("parent_id"), F.when(digit.isin(3, 6), "ambiguous synonym").otherwise("synonym").alias("status"), key(F.col("p_partkey")).alias("scientific_name"), F.when(digit.isin(2, 5), "B.").otherwise("A.").alias("authorship"))
+    merge = p.where("p_partkey % 10 <> 0").select(key(F.col("p_partkey")).alias("old_key"), kept.alias("kept_key"))
+    return statuses.synonym_problem(merge, own.unionByName(listed))
+
+
+@query()
+def authorship_match(r):
+    """A parser; tests hold it against written cases."""
+    rows = r.table("supplier").select("s_suppkey", F.element_at(F.array(F.lit("(Mill.) Britton & Rose, 1920"), F.lit("L."), F.lit("Smith")), (F.col("s_suppkey") % 3 + 1).cast("int")).alias("a"), F.element_at(F.array(F.lit("Rose & Britton"), F.lit("Linnaeus, 1758")), (F.col("s_suppkey") % 2 + 1).cast("int")).alias("b"))
+    return rows.select("s_suppkey", authors.authors_match(F.col("a"), F.col("b")).alias("same"))
+
+
+@query(f"SELECT s_suppkey, '{links.SEARCH}?checklistKey={links.CHECKLIST}&taxonKey=K' || s_suppkey || '&taxonKey=K%2F' || s_nationkey || '&geometry=POLYGON%28%28-125.000000+50.000000%2C-122.000000+50.000000%2C-122.000000+52.000000%2C-125.000000+52.000000%2C-125.000000+50.000000%29%29&occurrenceStatus=PRESENT&year=1990%2C2000' AS link FROM supplier")
+def search_links(r):
+    keys = F.array(F.concat(F.lit("K"), F.col("s_suppkey").cast("string")), F.concat(F.lit("K/"), F.col("s_nationkey").cast("string")))
+    ring = [(-125.0, 50.0), (-125.0, 52.0), (-122.0, 52.0), (-122.0, 50.0)]
+    return r.table("supplier").select("s_suppkey", links.search_link(keys, [ring], (1990, 2000)).alias("link"))
