@@ -465,7 +465,7 @@ def point_classes(r):
     return s.withColumns({"a": within(F.col("lon")), "b": within(-F.col("lon"))}).select("s_suppkey", F.when(F.col("a"), "inside").when(F.col("b"), "sign_typo").otherwise("outside").alias("point_class"))
 
 
-_BOX = "SELECT s_suppkey, CAST(-142 + s_suppkey % 30 AS DOUBLE) AS w, CAST(46 + s_suppkey % 13 AS DOUBLE) AS s, CAST(-142 + s_suppkey % 30 + 1 + s_suppkey % 25 AS DOUBLE) AS e, CAST(least(46 + s_suppkey % 13 + 1 + s_suppkey % 14, 80) AS DOUBLE) AS n FROM supplier"
+_BOX = "SELECT s_suppkey, CAST(-142 + s_suppkey % 30 AS DOUBLE) - 0.3 AS w, CAST(46 + s_suppkey % 13 AS DOUBLE) AS s, CAST(-142 + s_suppkey % 30 + 1 + s_suppkey % 25 AS DOUBLE) AS e, CAST(least(46 + s_suppkey % 13 + 1 + s_suppkey % 14, 80) AS DOUBLE) AS n FROM supplier"
 _IN = "greatest(0, least(e, -114) - greatest(w, -139)) * greatest(0, sin(radians(least(n, 60))) - sin(radians(greatest(s, 48))))"
 _REG, _OWN = "(25 * (sin(radians(60)) - sin(radians(48))))", "((e - w) * (sin(radians(n)) - sin(radians(s))))"
 
@@ -476,7 +476,7 @@ _REG, _OWN = "(25 * (sin(radians(60)) - sin(radians(48))))", "((e - w) * (sin(ra
 )
 def box_classes(r):
     k = F.col("s_suppkey")
-    box = r.table("supplier").select("s_suppkey", (k % 30 - 142).cast("double").alias("w"), (k % 13 + 46).cast("double").alias("s"), (k % 30 - 141 + k % 25).cast("double").alias("e"), F.least(k % 13 + 47 + k % 14, F.lit(80)).cast("double").alias("n"))
+    box = r.table("supplier").select("s_suppkey", ((k % 30 - 142).cast("double") - 0.3).alias("w"), (k % 13 + 46).cast("double").alias("s"), (k % 30 - 141 + k % 25).cast("double").alias("e"), F.least(k % 13 + 47 + k % 14, F.lit(80)).cast("double").alias("n"))
     out = polygons.classify_boxes(box, SQUARE)
     return out.select("s_suppkey", "box_class", "box_share", "box_size")
 
