@@ -3,7 +3,7 @@
 Texts become lower-cased letters with blanks between words; their 1-, 2- and 3-grams are hashed to
 2**BITS features. Document frequencies come from all training documents. Weights are trained with
 follow-the-regularised-leader (proximal, per-coordinate rates, elastic net) on a bounded sample: of
-each language the SAMPLE documents with the smallest hash of their doc_id. A fifth of them is kept from
+each language the SAMPLE documents with the smallest hash of their doc_id, TOTAL in all. A fifth of them is kept from
 training to fit the temperature that divides all logits.
 
 Defined results. A text that is null or has no letter is `und` with score 0. Rows without lang are not
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .bpe import LETTER, classes
 from .common import documents, mix64
 
-BITS, SAMPLE, EPOCHS = 14, 500, 3
+BITS, SAMPLE, TOTAL, EPOCHS = 14, 500, 20_000, 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
 M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -78,7 +78,8 @@ def document_frequencies(training: DataFrame) -> tuple[np.ndarray, int]:
 def sample(training: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """(lang, features, counts) of the sampled documents, in a fixed order."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = training.select("doc_id", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE).select("doc_id").distinct()
+    ids = training.select("doc_id", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE)
+    ids = ids.orderBy("r", F.xxhash64("doc_id"), "doc_id").limit(TOTAL).select("doc_id").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,7 +87,7 @@ def sample(training: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.binary(), pa.binary()), strict=True)], names=["doc_id", "lang", "f", "n"])
 
-    # at most SAMPLE ids for each language: a bound that does not grow with the documents
+    # at most TOTAL ids: a bound that does not grow with the documents
     rows = training.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, lang string, f binary, n binary").collect()
     key = mix64(np.array([r.doc_id for r in rows], np.int64).view(np.uint64)) if rows else []
     rows = [r for _, r in sorted(zip(key, rows, strict=True), key=lambda x: (int(x[0]), x[1].lang, bytes(x[1].f)))]
