@@ -55,8 +55,8 @@ def unequal_totals(totals: dict[str, DataFrame]) -> DataFrame:
     """Single-number frames that do not all agree."""
     parts = [df.select(F.lit(name).alias("name"), F.col(df.columns[0]).cast("bigint").alias("total")) for name, df in totals.items()]
     every = reduce(lambda a, b: a.unionByName(b), parts)
-    span = every.agg(F.min("total").alias("lo"), F.max("total").alias("hi"))
-    return every.join(F.broadcast(span)).where("lo <> hi").select("name", "total")  # one row of bounds
+    whole = every.agg(F.min("total").alias("lo"), F.max("total").alias("hi"), F.collect_list(F.struct("name", "total")).alias("all"))
+    return whole.where("lo <> hi").select(F.inline("all"))
 
 
 def unequal_counts(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:

@@ -15,10 +15,10 @@ def word_frequency(df: DataFrame, column: str, stop: list[str], n: int, least: i
     return words.where(~F.col("word").isin(stop)).groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(n)
 
 
-def profile(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Rows, distinct ids, and blanks of each column."""
+def profile(df: DataFrame, key: str, columns: list[str], more: list[Column] | None = None) -> DataFrame:
+    """Rows, distinct ids, blanks of each column, and more aggregates, in one pass."""
     blank = lambda c: F.btrim(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(" ")) == ""
-    return df.agg(F.count("*").alias("rows"), F.countDistinct(key).alias("ids"), *(F.count_if(blank(c)).alias(f"blank_{c}") for c in columns))
+    return df.agg(F.count("*").alias("rows"), F.countDistinct(key).alias("ids"), *(F.count_if(blank(c)).alias(f"blank_{c}") for c in columns), *(more or []))
 
 
 def binned(value: Column, edges: list[tuple[float, str]], last: str) -> Column:

@@ -227,8 +227,7 @@ def publisher_of(datasets: DataFrame) -> DataFrame:
 
 def count_with_total(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """n rows in order, each with the number of all rows."""
-    total = df.agg(F.count("*").alias("total"))
-    return df.orderBy(*order).limit(n).join(F.broadcast(total))  # one row
+    return df.orderBy(*order).limit(n).withColumn("total", F.lit(df.count()).cast("bigint"))
 
 
 def running_total(df: DataFrame, key: str, order: str, value: str) -> DataFrame:

@@ -639,7 +639,8 @@ def word_frequency(r):
 
 @query("SELECT count(*) AS rows, count(DISTINCT conv_id) AS ids, count(*) FILTER (WHERE trim(coalesce(text, '')) = '') AS blank, CAST(min(turn) AS BIGINT) AS first_turn, CAST(max(turn) AS BIGINT) AS last_turn FROM conversations")
 def harvest_profile(r):
-    return evaluation.profile(r.table("conversations"), "conv_id", ["text"]).select("rows", "ids", F.col("blank_text").alias("blank")).join(F.broadcast(r.table("conversations").agg(F.min("turn").alias("first_turn"), F.max("turn").alias("last_turn"))))
+    more = [F.min("turn").alias("first_turn"), F.max("turn").alias("last_turn")]
+    return evaluation.profile(r.table("conversations"), "conv_id", ["text"], more).withColumnRenamed("blank_text", "blank")
 
 
 @query("SELECT event_type, CASE WHEN value < 10 THEN 'low' WHEN value < 50 THEN 'mid' ELSE 'high' END AS bin, count(*) AS n FROM events GROUP BY 1, 2")
