@@ -32,11 +32,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import byte_table, mix64, repeat_ranges, text_chunks, utf8_view
+from .shingles import cut_points
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: The code points with the White_Space property.
 WHITE = [*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-BYTES = 2_000_000
+BYTES = 400_000
 CACHED = 150_000
 WIDE = 48
 NONE = np.int32(2**31 - 1)
@@ -202,6 +203,21 @@ class Vocabulary:
         base = int(offsets[0])
         own = np.ascontiguousarray(data[base : int(offsets[-1])])
         m = len(offsets) - 1
+        if len(own) > 4 * BYTES:  # a long text goes in parts that begin at a blank between letters, where a slice always begins
+            letter = np.zeros(len(own) + 1, bool)
+            letter[:-1] = ((own | 0x20) >= 97) & ((own | 0x20) <= 122)
+            allowed = np.zeros(len(own), bool)
+            allowed[1:] = (own[1:] == 32) & letter[: len(own) - 1] & letter[2:]
+            cuts = cut_points(allowed, offsets - base, BYTES)
+            found = [self.encode_chunk(own, cuts[i : i + 2]) if cuts[i + 1] - cuts[i] <= 4 * BYTES else self._encode(own[cuts[i] : cuts[i + 1]], np.array([0, cuts[i + 1] - cuts[i]])) for i in range(len(cuts) - 1)]
+            parts = np.concatenate([[0], np.cumsum([len(x[0]) for x in found])])
+            whose = (offsets[:-1] - base)[np.searchsorted(offsets - base, cuts[:-1], side="right") - 1]
+            where = np.concatenate([x[2] + c - w for x, c, w in zip(found, cuts[:-1], whose, strict=True)])
+            return np.concatenate([x[0] for x in found]), np.diff(parts[np.searchsorted(cuts, offsets - base)]), where
+        return self._encode(own, offsets - base)
+
+    def _encode(self, own: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        base, m = 0, len(offsets) - 1
         if not len(own):
             return np.zeros(0, np.uint32), np.zeros(m, np.int64), np.zeros(0, np.int64)
         lead = np.flatnonzero((own & 0xC0) != 0x80)

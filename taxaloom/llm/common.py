@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters or bytes that one vectorised step works on; bounds a worker's memory whatever the batch holds.
-CHUNK = 1_000_000
+CHUNK = 500_000
+
+#: Rows and bytes of a batch that goes to Python.
+BATCH_ROWS, BATCH_BYTES = 2_500, 8_000_000
 
 _SHIPPED: set[str] = set()
 
@@ -32,6 +35,9 @@ def ship(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     _SHIPPED.add(app)
+    # whole texts go to Python in batches of bounded size, whatever their length
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     path = os.path.join(tempfile.mkdtemp(prefix="ship"), "taxaloom_src.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
@@ -57,6 +63,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/taxaloom/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    _hadoop(spark, path, "deleteOnExit")
     out = spark.read.schema(df.schema).parquet(path)
     out._taxaloom_path = path
     return out
@@ -67,9 +74,13 @@ def release(*frames: DataFrame) -> None:
     for df in frames:
         path = getattr(df, "_taxaloom_path", None)
         if path:
-            jvm = df.sparkSession.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _hadoop(df.sparkSession, path, "delete", True)
+
+
+def _hadoop(spark: SparkSession, path: str, method: str, *args) -> None:
+    """Call the file system that holds a path; tables nobody releases go when the application ends."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    getattr(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), method)(p, *args)
 
 
 def partitions(spark: SparkSession) -> int:

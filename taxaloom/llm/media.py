@@ -33,7 +33,7 @@ from .common import repeat_ranges, text_chunks, utf8_view
 #: The zigzag order of an 8 x 8 block, by row and column.
 ZIGZAG = sorted(((r, c) for r in range(8) for c in range(8)), key=lambda x: (x[0] + x[1], x[0] if (x[0] + x[1]) % 2 else x[1]))
 BASIS_BITS = 20
-BYTES = 1_000_000
+BYTES = 400_000
 
 
 class MediaError(ValueError):

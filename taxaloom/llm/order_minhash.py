@@ -23,6 +23,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -142,16 +143,24 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     keyed = docs.select(key.alias("key"), "doc_id", "text")
     cuts = keyed.agg(F.percentile_approx("key", [i / parts for i in range(1, parts)], 10_000)).first()[0] if parts > 1 else None
     cuts = sorted(set(cuts or []))
-    # part 0 holds the greatest; a document goes to the part numbered by the cuts above it
-    part = F.lit(len(cuts)) - F.size(F.filter(F.array(*(F.lit(int(c)) for c in cuts)), lambda c: c <= F.col("key"))) if cuts else F.lit(0)
-    keyed = keyed.withColumn("part", part.cast("int"))
-    firsts = [(r.part, r.key) for r in keyed.groupBy("part").agg(F.max("key").alias("key")).orderBy("part").collect()]  # as many as parts
+    bounds = np.array(cuts, np.int64)
+
+    @F.pandas_udf("int")
+    def part_of(keys: pd.Series) -> pd.Series:  # part 0 holds the greatest
+        return pd.Series(len(bounds) - np.searchsorted(bounds, keys.to_numpy(), side="right"))
+
+    keyed = keyed.withColumn("part", part_of("key"))
+    firsts = [(r.part, r.key) for r in keyed.select("key", "part").groupBy("part").agg(F.max("key").alias("key")).orderBy("part").collect()]  # as many as parts
     if not firsts:
         return spark.createDataFrame([], SCHEMA_SQL)
     before = {k: firsts[i - 1][0] for i, (_, k) in enumerate(firsts)}  # the first document of all follows the last
-    also = F.create_map(*(x for k, p in before.items() for x in (F.lit(k), F.lit(p))))
-    homes = F.filter(F.array(F.struct(F.col("part").alias("p"), F.lit(False).alias("guest")), F.struct(F.try_element_at(also, F.col("key")).cast("int").alias("p"), F.lit(True).alias("guest"))), lambda x: x["p"].isNotNull())
-    dealt = keyed.select(F.explode(homes).alias("home"), "doc_id", "key", "text").select("home.p", "doc_id", "key", "text", "home.guest")
+
+    @F.pandas_udf("int")
+    def also(keys: pd.Series) -> pd.Series:
+        return keys.map(before).astype("Int32")
+
+    homes = F.filter(F.array(F.struct(F.col("part").alias("p"), F.lit(False).alias("guest")), F.struct(F.col("also").alias("p"), F.lit(True).alias("guest"))), lambda x: x["p"].isNotNull())
+    dealt = keyed.withColumn("also", also("key")).select(F.explode(homes).alias("home"), "doc_id", "key", "text").select("home.p", "doc_id", "key", "text", "home.guest")
     return dealt.repartition(parts, "p").sortWithinPartitions("p", "guest", F.desc("key"), "text").mapInArrow(fingerprint_rows, SCHEMA_SQL)
 
 

@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_table, doc_key, fresh, materialise, mix64, partitions, repeat_ranges, text_chunks, utf8_view
+from .common import CHUNK, byte_table, doc_key, fresh, materialise, mix64, partitions, repeat_ranges, text_chunks, utf8_view
 
 K = 32
 #: Bytes of text whose anchors are ordered together before the shuffle.
-FLUSH = 24_000_000
+FLUSH = 12_000_000
 #: Differing neighbourhoods of one 32-gram that a single task compares; beyond it, windows are dealt one by one.
 HOT = 4096
 ROWS = pa.schema([("k", pa.int64()), ("x", pa.int64()), ("doc", pa.int64()), ("sw", pa.int64())])
@@ -166,7 +166,15 @@ def anchor_rows(length: int, flush: int):
                 off = offsets[i : j + 1]
                 lengths = np.diff(off)
                 size += int(lengths.sum())
-                if (lengths >= length).any():
+                if len(lengths) == 1 and lengths[0] > 4 * CHUNK:
+                    # a long text goes in stretches of window starts; a run cut in two is settled window by window
+                    for a in range(0, int(lengths[0]) - length + 1, CHUNK):
+                        part = np.array([off[0] + a, min(off[0] + a + CHUNK + length - 1, off[1])])
+                        codes, starts = _padded(data, part, length)
+                        g = _grams(codes, 1, 64)
+                        p, lo, hi = _anchors(codes, g[32], starts, np.diff(part), length)
+                        held.append((_signed(mix64(g[32][p])), _signed(_contexts(g[64], lo, hi, p, length)), np.full(len(p), docs[i]), (lo - starts[0] + a).astype(np.int32), (hi - lo).astype(np.int32)))
+                elif (lengths >= length).any():
                     codes, starts = _padded(data, off, length)
                     g = _grams(codes, 1, 64)
                     p, lo, hi = _anchors(codes, g[32], starts, lengths, length)
@@ -286,15 +294,14 @@ def window_rows(key_at: int, text_at: int, ranges_at: int, length: int):
                 yield _windows(np.full(len(part), BY_CONTEXT), rh[part], np.zeros(len(part), np.int64), docs[own[part]], rs[part], rw[part], blobs)
             if not hot.any():
                 continue
-            for i, j in text_chunks(offsets):
-                mine = slice(at[i], at[j])
-                a, n, o = rs[mine][hot[mine]], rw[mine][hot[mine]] + 1, own[mine][hot[mine]]
-                if not len(a):
-                    continue
-                codes, starts = _padded(data, offsets[i : j + 1], length)
-                s, o = repeat_ranges(a, n), np.repeat(o, n)
-                held.append((*_prints(codes, starts[o - i] + s, length), docs[o], s))
-                size += len(s)
+            warm = np.flatnonzero(hot)
+            for part in np.array_split(warm, max(1, len(warm) // 10_000)):
+                n = rw[part] + 1
+                whole = n + length - 1
+                codes = np.append(data[repeat_ranges(offsets[own[part]] + rs[part], whole)], np.zeros(64, np.uint8)).astype(np.uint16)
+                ends = np.cumsum(whole)
+                held.append((*_prints(codes, repeat_ranges(ends - whole, n), length), np.repeat(docs[own[part]], n), repeat_ranges(rs[part], n)))
+                size += int(n.sum())
                 if size >= 1_000_000:
                     yield from _one_window_each(*(np.concatenate(x) for x in zip(*held, strict=True)))
                     held, size = [], 0
@@ -351,14 +358,15 @@ def cut_rows(text_at: int, marks_at: int, length: int, schema: pa.Schema):
                     kept.append(own.tobytes())
                     continue
                 sl = slice(at[i] - shift, at[i + 1] - shift)
-                edge = np.zeros(len(own) + 1, np.int64)
-                np.add.at(edge, np.minimum(ms[sl], len(own)), 1)
-                np.add.at(edge, np.minimum(ms[sl] + mw[sl] + length, len(own)), -1)
-                gone = np.cumsum(edge) > 0
-                gone[-1] = False
-                turn = np.flatnonzero(np.diff(np.concatenate([[False], gone]).astype(np.int8)))
-                spans.append([{"start": int(x), "end": int(y)} for x, y in zip(turn[::2], turn[1::2], strict=True)])
-                kept.append(own[~gone[:-1]].tobytes())
+                start = np.sort(ms[sl] << 32 | mw[sl])
+                end = np.minimum((start >> 32) + (start & 0xFFFFFFFF) + length, len(own))
+                start = np.minimum(start >> 32, len(own))
+                reach = np.maximum.accumulate(end)
+                head = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]]))
+                a, b = start[head], reach[np.append(head[1:], len(start)) - 1]
+                spans.append([{"start": int(x), "end": int(y)} for x, y in zip(a, b, strict=True) if y > x])
+                left = zip(np.append(0, b), np.append(a, len(own)), strict=True)
+                kept.append(b"".join(own[x:y].tobytes() for x, y in left))
             cols = [batch.column(x) for x in range(batch.num_columns) if x != marks_at]
             extra = [pa.array(spans, schema.field(-2).type), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays([x.cast(t.type) if x.type != t.type else x for x, t in zip(cols + extra, schema, strict=True)], schema=schema)

@@ -10,7 +10,7 @@ import functools
 
 import numpy as np
 
-from .common import byte_table, mix64, repeat_ranges
+from .common import CHUNK, byte_table, mix64, repeat_ranges
 
 ODD = [np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xC2B2AE3D27D4EB4F)]
 BASE = 0x5851F42D4C957F2D
@@ -35,12 +35,39 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
+def cut_points(allowed: np.ndarray, offsets: np.ndarray, most: int) -> np.ndarray:
+    """offsets with more places, each allowed, so that parts have about `most` bytes; without an allowed place a part stays longer."""
+    places = np.flatnonzero(allowed)
+    out = [offsets[:1]]
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        at = a
+        while b - at > most:
+            k = int(np.searchsorted(places, at + most))
+            if k == len(places) or places[k] >= b:
+                break
+            at = int(places[k])
+            out.append(np.array([at]))
+        out.append(np.array([b]))
+    return np.concatenate(out)
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts data[offsets[i]:offsets[i + 1]] in order, and how many each text has."""
-    table, space = _tables()
+    _, space = _tables()
     base = int(offsets[0])
     own = data[base : int(offsets[-1])]
     n = len(own)
+    if n > 2 * CHUNK:  # long texts go in parts that begin at white space
+        cuts = cut_points(space[own], offsets - base, CHUNK)
+        found = [_words(own[a:b], np.array([0, b - a])) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        parts = np.concatenate([[0], np.cumsum([len(h) for h, _ in found])])
+        return np.concatenate([h for h, _ in found]), np.diff(parts[np.searchsorted(cuts, offsets - base)])
+    return _words(own, offsets - base)
+
+
+def _words(own: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    table, space = _tables()
+    base, n = 0, len(own)
     inside = np.zeros(n + 2, bool)
     inside[1:-1] = ~space[own]
     starts = inside[1:-1] & ~inside[:-2]

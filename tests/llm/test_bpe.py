@@ -76,3 +76,17 @@ def test_odd_rows(spark):
 def test_decoding_refuses_unknown_ids():
     with pytest.raises(ValueError):
         bpe.Vocabulary(P.path("byte_bpe_multi_50k.tiktoken")).decode(np.array([50256]))
+
+
+def test_long_texts_in_parts(monkeypatch):
+    voc = bpe.Vocabulary(P.path("byte_bpe_multi_50k.tiktoken"))
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice(["the", " ", " ", "'s", "é", "\n", "  ", "12", "a", " b"]) for _ in range(n)) for n in (3000, 5, 0, 9000)] + ["x" * 5000]
+    want = enc(voc, texts)
+    raw = [t.encode() for t in texts]
+    off = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+    whole = voc.encode_chunk(np.frombuffer(b"".join(raw), np.uint8), off)
+    monkeypatch.setattr(bpe, "BYTES", 200)
+    assert enc(voc, texts) == want
+    parts = voc.encode_chunk(np.frombuffer(b"".join(raw), np.uint8), off)
+    assert all((a == b).all() for a, b in zip(whole, parts))

@@ -88,3 +88,19 @@ def test_columns_pass_through(spark):
 def test_length_bound(spark):
     with pytest.raises(ValueError):
         repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string"), length=50)
+
+
+def test_long_texts_go_in_stretches(spark, monkeypatch):
+    """What is cut at stretch borders is settled all the same."""
+    monkeypatch.setattr(repeats, "CHUNK", 257)
+    rnd = random.Random(9)
+    base = "".join(rnd.choice("abcdefgh \n") for _ in range(2600))
+    rows = [(1, base), (2, base[300:1900] + "#" + base[700:2300]), (3, base[::-1] + base[:500])]
+    held = []
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in repeats.anchor_rows(100, 10**9)(iter([pa.record_batch([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["d", "t"])])):
+        held.append(batch)
+    assert sum(len(b) for b in held) > 0 and max(int(np.max(b.column(3).to_numpy() >> 32)) for b in held) > 1000
+    check(spark, rows)
