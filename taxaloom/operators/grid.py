@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RADIUS = 6371.0072
@@ -40,6 +40,27 @@ def cell(lat: Column, lon: Column, res: int) -> Column:
     return F.when(lat.isNotNull() & lon.isNotNull(), F.concat(F.lit(f"h{res}_"), fq.cast("string"), F.lit("_"), fr.cast("string")))
 
 
+def with_cells(df: DataFrame, lat: str, lon: str, names: dict[int, str]) -> DataFrame:
+    """df with a cell column for each resolution, step by step: what several steps use is computed once."""
+    near = lambda v: F.floor(v + F.lit(0.5))
+    out = df.withColumns({"__x": F.radians(lon) * F.lit(RADIUS), "__y": F.sin(F.radians(lat)) * F.lit(RADIUS)})
+    steps: list[dict] = [{}, {}, {}]
+    for res, name in names.items():
+        s, (ox, oy) = size(res), ORIGINS[res]
+        x, y = F.col("__x") - F.lit(ox), F.col("__y") - F.lit(oy)
+        q, r, rq, rr, rt = (F.col(f"__{v}{res}") for v in ("q", "r", "a", "b", "c"))
+        steps[0] |= {f"__q{res}": x * F.lit(math.sqrt(3) / 3 / s) - y * F.lit(1 / 3 / s), f"__r{res}": y * F.lit(2 / 3 / s)}
+        t = -q - r
+        steps[1] |= {f"__a{res}": near(q), f"__b{res}": near(r), f"__c{res}": near(t)}
+        dq, dr, dt = F.abs(rq - q), F.abs(rr - r), F.abs(rt - t)
+        first = (dq > dr) & (dq > dt)
+        fq, fr = F.when(first, -rr - rt).otherwise(rq), F.when(first, rr).when(dr > dt, -rq - rt).otherwise(rr)
+        steps[2][name] = F.concat(F.lit(f"h{res}_"), fq.cast("string"), F.lit("_"), fr.cast("string"))  # null where a coordinate is
+    for step in steps:
+        out = out.withColumns(step)
+    return out.select(*df.columns, *names.values())
+
+
 def cell_sql(lat: str, lon: str, res: int) -> str:
     """The same as DuckDB SQL."""
     s, (ox, oy) = size(res), ORIGINS[res]

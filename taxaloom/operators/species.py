@@ -35,7 +35,7 @@ def quality_conditions(flags: list[str] | None = None) -> dict[str, Column]:
 
 def with_cells(df: DataFrame, lat: str = "decimallatitude", lon: str = "decimallongitude") -> DataFrame:
     """A cell at each resolution, each from the coordinates: cells do not nest."""
-    return df.withColumns({f"h3_r{r}": grid.cell(F.col(lat), F.col(lon), r) for r in grid.AREAS})
+    return grid.with_cells(df, lat, lon, {r: f"h3_r{r}" for r in grid.AREAS})
 
 
 def species_hex(records: DataFrame) -> DataFrame:
