@@ -34,6 +34,7 @@ K = 32
 FLUSH = 12_000_000
 #: Differing neighbourhoods of one 32-gram that a single task compares; beyond it, windows are dealt one by one.
 HOT = 4096
+SPREAD = 32
 ROWS = pa.schema([("k", pa.int64()), ("x", pa.int64()), ("doc", pa.int64()), ("sw", pa.int64())])
 ROWS_SQL = "k long, x long, doc long, sw long"
 MARKS = pa.schema([("f", pa.int8()), ("doc", pa.int64()), ("s", pa.int32()), ("w", pa.int32()), ("h", pa.int64())])
@@ -388,8 +389,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, spans: str = "removed_spa
     first = keyed.select(key, "text").mapInArrow(anchor_rows(length, FLUSH), ROWS_SQL).repartition(n, "k").sortWithinPartitions("k")
     settled = materialise(first.mapInArrow(settle_anchors, MARKS_SQL), "anchors")
     edges = settled.where(F.col("f") == BY_CONTEXT).drop("f")
-    hot = edges.groupBy("h").count().where(F.col("count") > HOT).select("h", F.lit(True).alias("hot"))
-    ranges = edges.join(hot, "h", "left").groupBy(F.col("doc").alias(key)).agg(F.collect_list(F.struct("s", "w", "h", F.coalesce("hot", F.lit(False)).alias("hot"))).alias(marks))
+    # a hot 32-gram's rows are spread over as many keys as SPREAD before they meet the note that it is hot
+    salt = F.pmod(F.xxhash64("doc", "s"), F.lit(SPREAD)).cast("int").alias("salt")
+    hot = edges.groupBy("h").count().where(F.col("count") > HOT).select("h", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"), F.lit(True).alias("hot"))
+    ranges = edges.select("*", salt).join(hot, ["h", "salt"], "left").groupBy(F.col("doc").alias(key)).agg(F.collect_list(F.struct("s", "w", "h", F.coalesce("hot", F.lit(False)).alias("hot"))).alias(marks))
     wide = keyed.join(ranges.hint("shuffle_hash"), key)  # the exchange of the texts is the one of the join below
     at = [wide.columns.index(x) for x in (key, "text", marks)]
     more = wide.mapInArrow(window_rows(*at, length), WINDOWS_SQL).repartition(n, "k").sortWithinPartitions("k").mapInArrow(settle_windows(length), MARKS_SQL)
