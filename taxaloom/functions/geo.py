@@ -7,7 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EARTH_KM = 6371.0088
+#: The mean radius for distances, and the radius of equal area.
+EARTH_KM, AREA_KM = 6371.0, 6371.007180918475
 
 
 def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -18,14 +19,14 @@ def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
 
 def box_area_km2(west: Column, south: Column, east: Column, north: Column) -> Column:
     """Area between two meridians and two parallels."""
-    return F.lit(EARTH_KM**2) * F.radians(east - west) * (F.sin(F.radians(north)) - F.sin(F.radians(south)))
+    return F.lit(AREA_KM * AREA_KM) * F.radians(east - west) * (F.sin(F.radians(north)) - F.sin(F.radians(south)))
 
 
 def polygon_area_km2(ring: list[tuple[float, float]]) -> float:
     """Area of a ring of (lon, lat) whose sides are straight on the equal-area map."""
     pts = [(math.radians(x), math.sin(math.radians(y))) for x, y in ring]
     twice = sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(pts, pts[1:] + pts[:1], strict=True))
-    return abs(twice) / 2 * EARTH_KM**2
+    return abs(twice) / 2 * AREA_KM**2
 
 
 def fixed(col: Column, places: int = 6) -> Column:

@@ -6,11 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Texts that mean the Public Domain Mark, in plain form.
-PUBLIC_DOMAIN = ["public domain", "cc pdm 1 0", "public domain mark", "public domain mark 1 0", "pdm 1 0"]
+PUBLIC_DOMAIN = ["public domain", "public domain mark", "public domain mark 1 0", "pdm", "pdm 1 0", "cc pdm", "cc pdm 1 0"]
 #: Codes that can be shown: a code without a version names no licence text.
-READABLE = r"CC0_1_0|PDM_1_0|CC_BY(_NC)?(_SA|_ND)?_[0-9]+_[0-9]+"
+READABLE = r"CC0_1_0|PDM_1_0|CC_BY(_NC)?(_SA)?(_ND)?_[0-9]+_[0-9]+"
 #: Best licence first.
-RANKS = ["CC0", "PDM", "CC_BY", "CC_BY_SA", "CC_BY_NC", "CC_BY_NC_SA", "CC_BY_ND", "CC_BY_NC_ND"]
+RANKS = ["CC0", "CC_BY", "CC_BY_SA", "CC_BY_ND", "CC_BY_NC", "CC_BY_NC_SA", "CC_BY_NC_ND"]
 
 
 def _group(text: Column, pattern: str, n: int = 1) -> Column:
@@ -45,8 +45,8 @@ def licence_code(col: Column) -> Column:
 
 
 def licence_rank(code: Column) -> Column:
-    """The place of a code among RANKS, whatever its version; null for others."""
-    bare = F.regexp_replace(code, r"_[0-9]+_[0-9]+$", "")
+    """The place of a code among RANKS, whatever its version; the Public Domain Mark ranks as CC0; null for others."""
+    bare = F.regexp_replace(F.regexp_replace(code, r"_[0-9]+_[0-9]+$", ""), "^PDM$", "CC0")
     return F.nullif(F.array_position(F.array(*map(F.lit, RANKS)), bare), F.lit(0)).cast("int")
 
 

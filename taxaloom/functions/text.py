@@ -57,7 +57,7 @@ def split_list(col: Column, by: str = ";") -> Column:
 
 def normal_doi(col: Column) -> Column:
     """A DOI without resolver, prefix or case; null where there is none."""
-    return F.lower(F.nullif(F.regexp_extract(F.coalesce(col, F.lit("")), r"(?i)(10\.[0-9]{4,9}/[^\s\"<>]+?)[.,;)]*(?:\s|$)", 1), F.lit("")))
+    return F.lower(F.nullif(F.regexp_extract(F.coalesce(col, F.lit("")), r"(?i)(10\.[0-9]{4,9}/[^\s\"<>]+?)[.,;)\]}]*(?:\s|$)", 1), F.lit("")))
 
 
 def normal_title(col: Column) -> Column:

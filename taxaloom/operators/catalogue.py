@@ -16,9 +16,12 @@ from taxaloom.operators.relational import connected_components, top_per_key
 #: Box classes from the most to the least inside, what they vote for and their notes.
 BOX_ORDER = ["inside", "bc_wide", "mostly_bc", "partly_bc", "huge", "outside"]
 BOX_VOTES = {"inside": "bc", "bc_wide": "bc", "outside": "not_bc"}
-RANK_WORDS = ["sp", "spp", "species", "ssp", "subsp", "var"]
+RANK_WORDS = ["sp", "spp"]
 FIELDS = ["col_name", "english_name", "merged_name", "bcsee_scientific_label", "bcsee_entry_english_name"]
 SCIENTIFIC = ["col_name", "merged_name", "bcsee_scientific_label"]
+MATCHED = [*SCIENTIFIC, "english_name", "bcsee_entry_english_name"]
+#: Letters without an accent to take off.
+SPECIAL = [("ø", "o"), ("Ø", "O"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"), ("ß", "ss"), ("ł", "l"), ("Ł", "L"), ("đ", "d"), ("Đ", "D"), ("þ", "th"), ("Þ", "Th"), ("ð", "d"), ("Ð", "D"), ("ı", "i")]
 DIRECTIONS = ["north", "south", "east", "west", "northern", "southern", "eastern", "western", "central", "upper", "lower"]
 
 
@@ -195,10 +198,10 @@ def match_names(organisms: DataFrame, names: DataFrame, genera: DataFrame, famil
     here = here.groupBy("dataset_id").agg(F.array_sort(F.collect_set("__genus")).alias("__genera"))
     split = split.join(here, "dataset_id", "left")
     fits = F.filter(F.coalesce("__genera", F.array().cast("array<string>")), lambda g: F.startswith(g, F.get(words, F.lit(0))))
-    short = F.col("name").rlike(r"^[A-Z]\.") & (F.size(words) > 1) & (F.length(F.get(words, F.lit(0))) == 1) & (F.size(fits) == 1)
+    short = F.col("name").rlike(r"^\s*[A-Za-z]\.\s*[a-z]") & (F.size(words) > 1) & (F.length(F.get(words, F.lit(0))) == 1) & (F.size(fits) == 1)
     split = split.withColumn("expanded", F.when(short, F.concat_ws(" ", F.get(fits, F.lit(0)), F.array_join(F.slice(words, 2, 100), " ")))).drop("__genera")
     target = F.coalesce("expanded", "name_norm")
-    place = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, FIELDS)), F.col("field")), F.lit(0)), F.lit(9))
+    place = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, MATCHED)), F.col("field")), F.lit(0)), F.lit(9))
     hits = names.groupBy(F.col("norm").alias("__t")).agg(F.array_sort(F.collect_set("specieskey")).alias("candidates"), F.min(F.struct(place.alias("p"), F.col("name").alias("n"), F.col("field").alias("f"))).alias("b"))
     out = split.withColumn("__t", target).join(hits, "__t", "left")
     n = F.coalesce(F.size("candidates"), F.lit(0))
@@ -294,7 +297,7 @@ def similarity(a: Column, b: Column) -> Column:
 
     @F.pandas_udf("double")
     def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([difflib.SequenceMatcher(None, p or "", q or "", autojunk=False).ratio() for p, q in zip(x, y, strict=True)])
+        return pd.Series([difflib.SequenceMatcher(None, p, q, autojunk=False).ratio() if p and q else float("nan") for p, q in zip(x, y, strict=True)])
 
     return ratio(a, b)
 
@@ -317,7 +320,10 @@ def link_by_any(left: DataFrame, right: DataFrame, keys: dict[str, tuple[Column,
 
 def place_norm(col: Column) -> Column:
     """A place name for comparison: plain letters, a leading "the" gone, no stops or apostrophes, single blanks."""
-    out = F.regexp_replace(F.lower(tx.strip_accents(F.coalesce(col, F.lit("")))), "[.'’]", "")
+    plain = tx.strip_accents(F.coalesce(col, F.lit("")))
+    for letter, ascii_ in SPECIAL:
+        plain = F.replace(plain, F.lit(letter), F.lit(ascii_))
+    out = F.regexp_replace(F.lower(plain), "[.'’]", "")
     out = F.btrim(F.regexp_replace(out, "[^a-z0-9]+", " "), F.lit(" "))
     return F.regexp_replace(out, "^the (?=.)", "")
 
@@ -337,9 +343,9 @@ def find_places(asked: DataFrame, places: DataFrame, threshold: float = 0.8) ->
     def near(rest, how):
         longest = F.greatest(F.length("norm"), F.length("found"))
         score = 1 - F.levenshtein(F.col("norm"), F.col("found")) / longest
-        long_enough = rest.where(F.length(F.replace("norm", F.lit(" "), F.lit(""))) >= 4).withColumn("p", F.left("norm", F.lit(3)))
+        long_enough = rest.where(F.length(F.replace("norm", F.lit(" "), F.lit(""))) >= 6).withColumn("p", F.left("norm", F.lit(3)))
         hit = long_enough.join(known.withColumn("p", F.left("found", F.lit(3))), "p").where(F.length("found").between(F.length("norm") * threshold - 1e-9, F.length("norm") / threshold + 1e-9))
-        each = F.forall(F.arrays_zip(F.split("norm", " ").alias("a"), F.split("found", " ").alias("b")), lambda w: F.coalesce(1 - F.levenshtein(w["a"], w["b"]) / F.greatest(F.length(w["a"]), F.length(w["b"])) >= threshold, F.lit(False)))
+        each = F.forall(F.arrays_zip(F.split("norm", " ").alias("a"), F.split("found", " ").alias("b")), lambda w: F.coalesce(F.when(F.least(F.length(w["a"]), F.length(w["b"])) <= 3, w["a"] == w["b"]).otherwise(1 - F.levenshtein(w["a"], w["b"]) / F.greatest(F.length(w["a"]), F.length(w["b"])) >= threshold), F.lit(False)))
         return hit.withColumn("similarity", score).where((F.col("similarity") >= threshold) & each).select("id", "place_id", F.lit(how).alias("match"), "similarity")
 
     out, rest = None, rows

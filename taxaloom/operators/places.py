@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The province's names, neighbours, kinds of candidates.
-NAME = r"(?i)\bbritish columbia\b|\bcolombie-britannique\b"
-SHORT = r"(?<![0-9]{1,4} |AD/|[0-9])\bB\.? ?C\b"
-ELSEWHERE = r"\b(?:Alberta|Yukon|Washington|Alaska|Ontario|Quebec|Manitoba|Saskatchewan)\b"
-CANADA = r"(?i)^\s*canada\s*$"
+NAME = r"(?i)British\s+Columbia|Colombie[-\s]Britannique"
+SHORT = r"(?<![\w.]|[0-9] )B\.\s?C\.(?![A-Za-z])|(?<![\w.])C\.-B\.(?![A-Za-z])|(?<![\w/\-]|[0-9] )BC(?![\w])"
+ELSEWHERE = r"\b(?:Alberta|Saskatchewan|Manitoba|Ontario|Qu[eé]bec|New Brunswick|Nova Scotia|Prince Edward Island|Newfoundland|Labrador|Yukon|Northwest Territories|Nunavut|Hudson Bay|Great Lakes|United States|U\.S\.A\.|USA|Mexico)\b"
+CANADA = r"^\s*(?:Canada|CANADA|Canada \(.*\)|Canadian|Canadian waters)\s*$"
 KINDS = ["in_bc", "spans_bc_border", "contains_bc", "ocean_no_country", "outside"]
-NOT_DRAWN = ["zero_width", "most_of_world"]
-MOST_OF_WORLD = 0.9
+NOT_DRAWN = ["swapped", "zero_width", "most_of_world"]
+MOST_OF_WORLD = 0.5
+CANADA_BOX, CANADA_MARGIN = (-141.0, 41.7, -52.6, 83.1), 0.5
 ACCESS = "info:eu-repo/semantics/"
 
 
@@ -84,6 +85,10 @@ def box_flags(w: Column, s: Column, e: Column, n: Column) -> Column:
     across = (w > 0) & (e < 0)
     width = F.when(across, F.pmod(e - w, F.lit(360.0))).otherwise(F.abs(e - w))
     found = [F.when((s > n) | ((w > e) & ~across), "swapped"), F.when((w == e) | (s == n), "zero_width"), F.when(width / 360 * F.abs(n - s) / 180 >= MOST_OF_WORLD, "most_of_world")]
+    west, south, east, north = CANADA_BOX
+    near = lambda c, v: F.abs(c - v) <= CANADA_MARGIN
+    extent = near(F.least(w, e), west) & near(F.greatest(w, e), east) & near(F.least(s, n), south) & near(F.greatest(s, n), north)
+    found.append(F.when(extent & ~across, "matches_canada_extent"))
     return F.array_compact(F.array(*found))
 
 

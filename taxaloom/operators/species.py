@@ -13,8 +13,18 @@ CELLS = ["h3_r4", "h3_r5", "h3_r6", "h3_r7"]
 RANKS = ["kingdom", "phylum", "class", "order", "family", "genus"]
 #: Flags that take a record out, and kinds of record that are left out.
 BAD_FLAGS = [
-    "ZERO_COORDINATE", "COORDINATE_INVALID", "COORDINATE_OUT_OF_RANGE", "COUNTRY_COORDINATE_MISMATCH", "PRESUMED_NEGATED_LATITUDE", "PRESUMED_NEGATED_LONGITUDE",
-    "PRESUMED_SWAPPED_COORDINATE", "GEODETIC_DATUM_INVALID", "COORDINATE_REPROJECTION_FAILED", "COORDINATE_REPROJECTION_SUSPICIOUS", "TAXON_MATCH_HIGHERRANK", "TAXON_MATCH_NONE",
+    "COORDINATE_REPROJECTION_FAILED",
+    "COORDINATE_REPROJECTION_SUSPICIOUS",
+    "COORDINATE_UNCERTAINTY_METERS_INVALID",
+    "PRESUMED_NEGATED_LATITUDE",
+    "PRESUMED_NEGATED_LONGITUDE",
+    "PRESUMED_SWAPPED_COORDINATE",
+    "FOOTPRINT_WKT_MISMATCH",
+    "FOOTPRINT_WKT_INVALID",
+    "COUNTRY_COORDINATE_MISMATCH",
+    "COORDINATE_PRECISION_INVALID",
+    "CONTINENT_COUNTRY_MISMATCH",
+    "CONTINENT_COORDINATE_MISMATCH",
 ]
 LEFT_OUT = ["FOSSIL_SPECIMEN", "LIVING_SPECIMEN"]
 TOP_DATASETS = 5

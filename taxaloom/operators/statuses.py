@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Statuses in display order; those that are shown; answers a person must look at; levels below species; rank marks.
-ORDER = ["Red", "Blue", "Yellow", "Exotic", "Unknown", "Not Reviewed", "No Status"]
-SHOWN = ["Red", "Blue", "Yellow"]
-REVIEW_STATUSES = ["DOUBTFUL", "MISAPPLIED"]
-REVIEW_MATCHES = ["VARIANT", "FUZZY"]
-BELOW_SPECIES = ["Subspecies", "Variety", "Population", "Form"]
-PLACEHOLDER = r"(?i)\bsp\.|\bspp\.|\bn\. sp|\bundescribed\b|\d"
+ORDER = ["Red", "Blue", "Yellow", "Exotic", "Not Reviewed", "Unknown", "Accidental", "No Status"]
+SHOWN = ["Red", "Blue", "Yellow", "Exotic"]
+REVIEW_STATUSES = ["AMBIGUOUS_SYNONYM", "MISAPPLIED"]
+REVIEW_MATCHES = ["VARIANT", "CANONICAL", "AMBIGUOUS"]
+BELOW_SPECIES = ["Population", "Subspecies", "Variety"]
+PLACEHOLDER = r" sp\.\s*\S| aff\. | cf\. | nr\. |^\S+ \S+ complex\b"
 MARKS = {"SUBSPECIES": "ssp.", "VARIETY": "var.", "FORM": "f."}
 MARKED = ["Plantae", "Fungi"]
 

@@ -15,7 +15,7 @@ from taxaloom.operators import checks, grid, species
 from taxaloom.plans import area, datasets, schemas
 from taxaloom.sources.sinks import described_csv
 
-STATUS_OPTIONS = ["red", "blue", "yellow", "none"]
+STATUS_OPTIONS = ["red", "blue", "yellow", "exotic", "none"]
 SORTS = ["most_records", "fewest_records", "scientific", "english"]
 MAX_AREA_CELLS = 200_000
 

@@ -26,7 +26,7 @@ SELECT CAST(l_orderkey * 10 + l_linenumber AS STRING) AS gbifid,
        CASE WHEN l_orderkey % 59 = 0 THEN NULL ELSE CAST(-139 AS DOUBLE) + CAST((l_partkey * 7 + l_linenumber) % 2500 AS DOUBLE) / CAST(100 AS DOUBLE) END AS decimallongitude,
        CASE WHEN l_quantity < 3 THEN 'ABSENT' WHEN l_quantity > 49 THEN NULL ELSE 'PRESENT' END AS occurrencestatus,
        CASE l_returnflag WHEN 'A' THEN 'FOSSIL_SPECIMEN' WHEN 'N' THEN 'HUMAN_OBSERVATION' ELSE 'PRESERVED_SPECIMEN' END AS basisofrecord,
-       CASE WHEN l_linenumber = 7 THEN 'ZERO_COORDINATE; OTHER' WHEN l_linenumber = 6 THEN 'OTHER' WHEN l_linenumber = 5 THEN NULL ELSE '' END AS issue_text,
+       CASE WHEN l_linenumber = 7 THEN 'COUNTRY_COORDINATE_MISMATCH; OTHER' WHEN l_linenumber = 6 THEN 'OTHER' WHEN l_linenumber = 5 THEN NULL ELSE '' END AS issue_text,
        l_shipdate AS eventdate, l_quantity, l_linenumber, l_orderkey, l_partkey, l_suppkey
 FROM lineitem JOIN part ON l_partkey = p_partkey
 """

@@ -126,7 +126,7 @@ def merged_names(r):
     return species.merged_names(r.merge, names).select("specieskey", F.explode("merged_names").alias("m")).select("specieskey", F.col("m.key").alias("old_key"), "m.name")
 
 
-FLAGGED = "coalesce(list_has_any(list_transform(string_split(issue_text, ';'), lambda x: trim(x)), ['ZERO_COORDINATE']), false)"
+FLAGGED = "coalesce(list_has_any(list_transform(string_split(issue_text, ';'), lambda x: trim(x)), ['COUNTRY_COORDINATE_MISMATCH']), false)"
 PASSES = f"occurrencestatus = 'PRESENT' AND basisofrecord NOT IN ('FOSSIL_SPECIMEN', 'LIVING_SPECIMEN') AND species IS NOT NULL AND decimallatitude IS NOT NULL AND decimallongitude IS NOT NULL AND NOT {FLAGGED}"
 
 
@@ -366,7 +366,7 @@ def credit_check(r):
 
 
 @query(
-    f"""SELECT specieskey, gbifid, license_rank FROM (SELECT 'K' || l_partkey AS specieskey, l_orderkey * 10 + l_linenumber AS gbifid, CAST(CASE l_orderkey % {len(LICENCES)} WHEN 0 THEN 3 WHEN 1 THEN 5 WHEN 3 THEN 1 WHEN 4 THEN 2 WHEN 5 THEN 8 WHEN 6 THEN 6 WHEN 10 THEN 1 END AS INTEGER) AS license_rank, l_shipdate FROM lineitem) WHERE license_rank IS NOT NULL
+    f"""SELECT specieskey, gbifid, license_rank FROM (SELECT 'K' || l_partkey AS specieskey, l_orderkey * 10 + l_linenumber AS gbifid, CAST(CASE l_orderkey % {len(LICENCES)} WHEN 0 THEN 2 WHEN 1 THEN 5 WHEN 3 THEN 1 WHEN 4 THEN 1 WHEN 5 THEN 7 WHEN 6 THEN 6 WHEN 10 THEN 1 END AS INTEGER) AS license_rank, l_shipdate FROM lineitem) WHERE license_rank IS NOT NULL
     QUALIFY row_number() OVER (PARTITION BY specieskey ORDER BY license_rank, l_shipdate DESC, gbifid) = 1"""
 )
 def species_image_pick(r):
@@ -471,7 +471,7 @@ _REG, _OWN = "(25 * (sin(radians(60)) - sin(radians(48))))", "((e - w) * (sin(ra
 
 
 @query(
-    f"""SELECT s_suppkey, CASE WHEN share < 0.02 AND cover < 0.02 THEN 'outside' WHEN size >= 5 THEN 'huge' WHEN share >= 0.9 THEN 'inside' WHEN cover >= 0.8 AND abs(w + 139) <= 0.5 AND abs(e + 114) <= 0.5 AND abs(s - 48) <= 0.5 AND abs(n - 60) <= 0.5 THEN 'bc_wide' WHEN share >= 0.5 THEN 'mostly_bc' ELSE 'partly_bc' END AS box_class, round(share, 4) AS box_share, round(size, 4) AS box_size
+    f"""SELECT s_suppkey, CASE WHEN share < 0.02 AND cover < 0.02 THEN 'outside' WHEN size >= 5 THEN 'huge' WHEN share >= 0.9 THEN 'inside' WHEN cover >= 0.8 AND abs(w + 139) <= 1 AND abs(e + 114) <= 1 AND abs(s - 48) <= 1 AND abs(n - 60) <= 1 THEN 'bc_wide' WHEN share >= 0.5 THEN 'mostly_bc' ELSE 'partly_bc' END AS box_class, round(share, 4) AS box_share, round(size, 4) AS box_size
     FROM (SELECT *, {_IN} / {_OWN} AS share, {_IN} / {_REG} AS cover, {_OWN} / {_REG} AS size FROM ({_BOX}))"""
 )
 def box_classes(r):
@@ -624,7 +624,7 @@ def place_lookup(r):
     return cat.find_places(asked, r.table("region").select(F.col("r_regionkey").alias("place_id"), cat.place_norm(F.col("r_name")).alias("norm")))
 
 
-@query("SELECT s_suppkey, round(2 * 6371.0088 * asin(sqrt(least(1.0, power(sin(radians(lat2 - lat1) / 2), 2) + cos(radians(lat1)) * cos(radians(lat2)) * power(sin(radians(lon2 - lon1) / 2), 2)))), 3) AS km, round(6371.0088 * 6371.0088 * radians(1) * (sin(radians(lat1 + 1)) - sin(radians(lat1))), 2) AS box FROM (SELECT s_suppkey, CAST(s_suppkey % 50 AS DOUBLE) AS lat1, CAST(-120 AS DOUBLE) AS lon1, CAST(49 AS DOUBLE) AS lat2, CAST(-120 + s_suppkey % 30 AS DOUBLE) AS lon2 FROM supplier)")
+@query("SELECT s_suppkey, round(2 * 6371.0 * asin(sqrt(least(1.0, power(sin(radians(lat2 - lat1) / 2), 2) + cos(radians(lat1)) * cos(radians(lat2)) * power(sin(radians(lon2 - lon1) / 2), 2)))), 3) AS km, round(6371.007180918475::DOUBLE * 6371.007180918475::DOUBLE * radians(1) * (sin(radians(lat1 + 1)) - sin(radians(lat1))), 2) AS box FROM (SELECT s_suppkey, CAST(s_suppkey % 50 AS DOUBLE) AS lat1, CAST(-120 AS DOUBLE) AS lon1, CAST(49 AS DOUBLE) AS lat2, CAST(-120 + s_suppkey % 30 AS DOUBLE) AS lon2 FROM supplier)")
 def distances_and_areas(r):
     k = F.col("s_suppkey")
     lat = (k % 50).cast("double")
@@ -755,7 +755,7 @@ _STATUS = "CASE p_size % 4 WHEN 0 THEN 'Red' WHEN 1 THEN 'Blue' WHEN 2 THEN 'Yel
 
 
 @query(
-    f"""WITH e AS (SELECT p_partkey % 300 AS k, {_STATUS} AS status, p_name AS label, bool_or(p_size % 3 = 0) AS level, count(*) AS codes, CASE p_size % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 7 END AS place FROM part GROUP BY 1, 2, 3, 6)
+    f"""WITH e AS (SELECT p_partkey % 300 AS k, {_STATUS} AS status, p_name AS label, bool_or(p_size % 3 = 0) AS level, count(*) AS codes, CASE p_size % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 8 END AS place FROM part GROUP BY 1, 2, 3, 6)
     SELECT k AS gbif_species_key, string_agg(status || ': ' || label, '; ' ORDER BY NOT level, place, label) AS status_display, count(*) > 1 AS has_multiple, count(*) FILTER (WHERE level) >= 2 AS has_separate_bcsee_species, CAST(sum(codes) AS INTEGER) AS codes FROM e GROUP BY 1"""
 )
 def status_nesting(r):
@@ -767,7 +767,7 @@ def status_nesting(r):
 @query("SELECT p_partkey, (p_partkey % 4 <> 0 AND (p_size % 4 = 0 OR (p_size % 4 = 1 AND p_size % 3 = 0)) AND p_brand NOT IN ('Brand#1', 'Brand#2')) AS join_ok, (p_size % 4 = 2 OR p_brand IN ('Brand#1', 'Brand#2') OR (p_size % 4 = 1 AND p_size % 3 = 1)) AS needs_review FROM part")
 def status_match_flags(r):
     pick = lambda values, c: F.element_at(F.array(*map(F.lit, values)), (c + 1).cast("int"))
-    rows = r.table("part").select("p_partkey", F.when(F.col("p_partkey") % 4 != 0, "k").alias("gbif_species_key"), pick(["EXACT", "HIGHERRANK", "VARIANT", "NONE"], F.col("p_size") % 4).alias("gbif_match_type"), F.lit("SPECIES").alias("gbif_rank"), pick(["Subspecies", "Species", "Genus"], F.col("p_size") % 3).alias("classification_level"), F.when(F.col("p_brand").isin("Brand#1", "Brand#2"), "DOUBTFUL").otherwise("ACCEPTED").alias("gbif_status"), F.lit("Aus bus").alias("scientific_name"))
+    rows = r.table("part").select("p_partkey", F.when(F.col("p_partkey") % 4 != 0, "k").alias("gbif_species_key"), pick(["EXACT", "HIGHERRANK", "VARIANT", "NONE"], F.col("p_size") % 4).alias("gbif_match_type"), F.lit("SPECIES").alias("gbif_rank"), pick(["Subspecies", "Species", "Genus"], F.col("p_size") % 3).alias("classification_level"), F.when(F.col("p_brand").isin("Brand#1", "Brand#2"), "MISAPPLIED").otherwise("ACCEPTED").alias("gbif_status"), F.lit("Aus bus").alias("scientific_name"))
     return statuses.with_flags(rows).select("p_partkey", "join_ok", "needs_review")
 
 
@@ -778,7 +778,7 @@ def written_names(r):
     return r.table("part").select("p_partkey", statuses.written_name(canonical, full, F.when(F.col("p_type") == "PROMO", "VARIETY"), F.lit("Plantae")).alias("written"))
 
 
-@query("SELECT doc_id, source, list_contains(flags, 'swapped') AS swapped, list_contains(flags, 'zero_width') AS zero_width, list_contains(flags, 'most_of_world') AS most_of_world FROM (SELECT doc_id, source, list_filter([CASE WHEN s > n OR (w > e AND NOT (w > 0 AND e < 0)) THEN 'swapped' END, CASE WHEN w = e OR s = n THEN 'zero_width' END, CASE WHEN (CASE WHEN w > 0 AND e < 0 THEN (e - w) + 360 ELSE abs(e - w) END) / 360 * abs(n - s) / 180 >= 0.9 THEN 'most_of_world' END], lambda x: x IS NOT NULL) AS flags FROM (SELECT doc_id, source, CAST(-180 + doc_id % 7 * 55 AS DOUBLE) AS w, CAST(180 - doc_id % 5 * 80 AS DOUBLE) AS e, CAST(-90 + doc_id % 3 * 40 AS DOUBLE) AS s, CAST(90 - doc_id % 11 * 14 AS DOUBLE) AS n FROM documents))")
+@query("SELECT doc_id, source, list_contains(flags, 'swapped') AS swapped, list_contains(flags, 'zero_width') AS zero_width, list_contains(flags, 'most_of_world') AS most_of_world FROM (SELECT doc_id, source, list_filter([CASE WHEN s > n OR (w > e AND NOT (w > 0 AND e < 0)) THEN 'swapped' END, CASE WHEN w = e OR s = n THEN 'zero_width' END, CASE WHEN (CASE WHEN w > 0 AND e < 0 THEN (e - w) + 360 ELSE abs(e - w) END) / 360 * abs(n - s) / 180 >= 0.5 THEN 'most_of_world' END], lambda x: x IS NOT NULL) AS flags FROM (SELECT doc_id, source, CAST(-180 + doc_id % 7 * 55 AS DOUBLE) AS w, CAST(180 - doc_id % 5 * 80 AS DOUBLE) AS e, CAST(-90 + doc_id % 3 * 40 AS DOUBLE) AS s, CAST(90 - doc_id % 11 * 14 AS DOUBLE) AS n FROM documents))")
 def box_flags(r):
     k = F.col("doc_id")
     edges = [(k % 7 * 55 - 180).cast("double"), (k % 3 * 40 - 90).cast("double"), (F.lit(180) - k % 5 * 80).cast("double"), (F.lit(90) - k % 11 * 14).cast("double")]

@@ -223,7 +223,7 @@ def test_licences(spark):
         assert one(spark, licence.licence_code(F.lit(text).cast("string"))) == code, text
     assert one(spark, licence.licence_label(F.lit("CC_BY_NC_4_0"))) == "CC BY-NC 4.0"
     assert one(spark, licence.licence_url(F.lit("CC_BY_NC_4_0"))) == "https://creativecommons.org/licenses/by-nc/4.0/"
-    assert one(spark, licence.licence_rank(F.lit("CC_BY_4_0"))) == 3
+    assert one(spark, licence.licence_rank(F.lit("CC_BY_4_0"))) == 2
     assert one(spark, licence.may_be_shown(F.lit("u"), F.lit(None).cast("string"), F.lit("c"), F.lit("CC_BY"))) is False
 
 
@@ -250,7 +250,7 @@ def test_keywords(spark):
 
 def test_quality_filter_and_reports(spark):
     base = ("PRESENT", "HUMAN_OBSERVATION", "s", 1.0, 2.0, None)
-    cases = [base, ("ABSENT", *base[1:]), (None, *base[1:]), ("PRESENT", "FOSSIL_SPECIMEN", *base[2:]), ("PRESENT", None, *base[2:]), (*base[:2], None, *base[3:]), (*base[:3], None, *base[4:]), (*base[:4], None, None), (*base[:5], ["ZERO_COORDINATE"]), (*base[:5], [None, "X"])]
+    cases = [base, ("ABSENT", *base[1:]), (None, *base[1:]), ("PRESENT", "FOSSIL_SPECIMEN", *base[2:]), ("PRESENT", None, *base[2:]), (*base[:2], None, *base[3:]), (*base[:3], None, *base[4:]), (*base[:4], None, None), (*base[:5], ["COUNTRY_COORDINATE_MISMATCH"]), (*base[:5], [None, "X"])]
     df = spark.createDataFrame(cases, "occurrencestatus string, basisofrecord string, species string, decimallatitude double, decimallongitude double, issue array<string>")
     report = {r.reason: r.records for r in rel.failure_report(df, species.quality_conditions()).collect()}
     assert report == {"kept": 2, "not present": 2, "kind of record": 2, "no species": 1, "no latitude": 1, "no longitude": 1, "flagged": 1}
