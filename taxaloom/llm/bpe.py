@@ -37,7 +37,7 @@ from .shingles import cut_points
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: The code points with the White_Space property.
 WHITE = [*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-BYTES = 400_000
+BYTES = 800_000
 CACHED = 150_000
 WIDE = 48
 NONE = np.int32(2**31 - 1)
