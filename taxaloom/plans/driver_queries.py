@@ -740,14 +740,14 @@ def title_similarity(r):
 @query()
 def coordinates_in_text(r):
     """A parser with spans; tests hold it against written cases."""
-    text = F.concat(F.substring("text", 1, 50), F.lit(" 49° 30' 15\" N, 123° 15' W and 50.5 N 120.25 W"))
+    text = F.concat("text", F.lit(" 49° 30' 15\" N, 123° 15' W and 50.5 N 120.25 W"))
     return r.table("documents").select("doc_id", F.explode(cat.coordinates_in_text(text)).alias("c")).select("doc_id", "c.lat", "c.lon")
 
 
 @query()
 def taxa_in_text(r):
     """Span claiming has no SQL; tests hold it against written cases."""
-    text = F.concat(F.lit("Canis lupus and Ursus sp. near "), F.substring("text", 1, 80))
+    text = F.concat(F.lit("Canis lupus and Ursus sp. near "), "text")
     return r.table("documents").select("doc_id", F.explode(cat.taxa_in_text(text, {"Canis", "Ursus"}, set(), {"lupus"})).alias("t")).select("doc_id", "t.name", "t.tier")
 
 
