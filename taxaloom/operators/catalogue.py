@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from taxaloom.functions import text as tx
 from taxaloom.functions.dates import try_time
+from taxaloom.operators import coordinates as coords
 from taxaloom.operators.relational import connected_components, top_per_key
 
 #: Box classes from the most to the least inside, what they vote for and their notes.
@@ -270,21 +271,11 @@ def taxa_in_text(text: Column, genera: set[str], families: set[str], epithets: s
 
 
 def coordinates_in_text(text: Column) -> Column:
-    """Latitude and longitude pairs written in a text (decimal, degrees and minutes, or with seconds, each with its letter), as an array of structs."""
-    half = r"(\d{1,3}(?:\.\d+)?)\s*°?\s*(?:(\d{1,2}(?:\.\d+)?)\s*['′]\s*(?:(\d{1,2}(?:\.\d+)?)\s*[\"″]\s*)?)?"
-    pair = re.compile(rf"(?<![\d.]){half}([NS])\s*[,;/]?\s*(?:and\s+)?{half}([EW])(?![A-Za-z])")
+    """Points, ranges, boxes and single latitudes or longitudes written in a text, as an array of structs; `coordinates` has the forms."""
 
-    def value(d, m, s, letter):
-        x = float(d) + float(m or 0) / 60 + float(s or 0) / 3600
-        return -x if letter in "SW" else x
-
-    @F.pandas_udf("array<struct<lat:double,lon:double,start:int>>")
+    @F.pandas_udf("array<struct<" + ",".join(f"{k}:{v}" for k, v in coords.FIELDS.items()) + ">>")
     def find(texts: pd.Series) -> pd.Series:
-        out = []
-        for t in texts:
-            rows = [(value(*m.group(1, 2, 3, 4)), value(*m.group(5, 6, 7, 8)), m.start()) for m in pair.finditer(t or "")]
-            out.append([{"lat": round(a, 6), "lon": round(b, 6), "start": s} for a, b, s in rows if abs(a) <= 90 and abs(b) <= 180])
-        return pd.Series(out)
+        return pd.Series([[coords.row(f) for f in coords.coordinates(t or "")] for t in texts])
 
     return find(text)
 
