@@ -1,5 +1,6 @@
 """Queries without SQL over documents whose hits stand late in long texts."""
 
+import difflib
 import re
 
 import pytest
@@ -29,3 +30,10 @@ def test_coordinates_anywhere(spark, folder):
     got = driver_queries.QUERIES["coordinates_in_text"](spark, folder).collect()
     want = [(d, *p) for d, _ in TEXTS for p in ((49.504167, -123.25), (50.5, -120.25))] + [(4, 51.25, -121.5), (4, 52.5, -122.0)]
     assert sorted((r.doc_id, r.lat, r.lon) for r in got) == sorted(want)
+
+
+def test_titles_are_compared_whole(spark, tmp_path):
+    texts = [(1, "x" * 70 + "abc" * 20), (2, "a title that is short"), (3, "".join(chr(97 + i * i % 26) for i in range(200)))]
+    spark.createDataFrame(texts, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = {i: round(difflib.SequenceMatcher(None, t, t[9:], autojunk=False).ratio(), 6) for i, t in texts}
+    assert {r.item_id: r.ratio for r in driver_queries.QUERIES["title_similarity"](spark, str(tmp_path)).collect()} == want
