@@ -7,6 +7,7 @@ bytes for these characters alone, so bytes give the same words as characters.
 from __future__ import annotations
 
 import functools
+import hashlib
 
 import numpy as np
 
@@ -15,6 +16,9 @@ from .common import CHUNK, byte_table, mix64, repeat_ranges
 ODD = [np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xC2B2AE3D27D4EB4F)]
 BASE = 0x5851F42D4C957F2D
 SHORT = np.uint64(0x2545F4914F6CDD1D)
+#: Bytes of the longest word with a polynomial hash.
+LONG = 64
+_FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 @functools.lru_cache(maxsize=1)
@@ -27,7 +31,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return byte_table(11)[low], space
 
 
-@functools.lru_cache(maxsize=1)
+@functools.lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up = np.full(n, np.uint64(BASE))
     down = np.full(n, np.uint64(pow(BASE, -1, 2**64)))
@@ -52,24 +56,20 @@ def cut_points(allowed: np.ndarray, offsets: np.ndarray, most: int) -> np.ndarra
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts data[offsets[i]:offsets[i + 1]] in order, and how many each text has."""
-    _, space = _tables()
+    """Hashes of the words of all texts data[offsets[i]:offsets[i + 1]] in order, and how many each text has.
+
+    A word of up to LONG bytes has a polynomial hash, computed in steps of about CHUNK bytes whatever
+    the length of a text. Such a hash modulo 2 ** 64 fails on longer words of regular build, so those
+    have a cryptographic one.
+    """
+    table, space = _tables()
     base = int(offsets[0])
     own = data[base : int(offsets[-1])]
     n = len(own)
-    if n > 2 * CHUNK:  # long texts go in parts that begin at white space
-        cuts = cut_points(space[own], offsets - base, CHUNK)
-        found = [_words(own[a:b], np.array([0, b - a])) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-        parts = np.concatenate([[0], np.cumsum([len(h) for h, _ in found])])
-        return np.concatenate([h for h, _ in found]), np.diff(parts[np.searchsorted(cuts, offsets - base)])
-    return _words(own, offsets - base)
-
-
-def _words(own: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    table, space = _tables()
-    base, n = 0, len(own)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
     inside = np.zeros(n + 2, bool)
-    inside[1:-1] = ~space[own]
+    np.logical_not(space[own], out=inside[1:-1])
     starts = inside[1:-1] & ~inside[:-2]
     ends = inside[1:-1] & ~inside[2:]
     cuts = offsets[1:-1] - base
@@ -77,13 +77,25 @@ def _words(own: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     starts[mid] = inside[1:-1][mid]
     ends[mid - 1] = inside[1:-1][mid - 1]
     s, e = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    size = 1 << max(16, int(n + 1).bit_length())
-    up, down = _powers(size)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(table[own] * up[:n], out=total[1:])
-    h = mix64((total[e] - total[s]) * down[s])
-    counts = np.diff(np.searchsorted(s, offsets - base))
-    return h, counts
+    del inside, starts, ends
+    h = np.zeros(len(s), np.uint64)
+    up, down = _powers(CHUNK + LONG)
+    short = np.flatnonzero(e - s <= LONG)
+    step = s[short] // CHUNK
+    head = np.flatnonzero(np.concatenate([[True], step[1:] != step[:-1]])) if len(short) else short
+    for i, j in zip(head, np.append(head[1:], len(short)), strict=True):
+        at = short[i:j]
+        a, b = int(s[at[0]]), int(e[at[-1]])
+        total = np.zeros(b - a + 1, np.uint64)
+        np.cumsum(table[own[a:b]] * up[: b - a], out=total[1:])
+        h[at] = mix64((total[e[at] - a] - total[s[at] - a]) * down[s[at] - a])
+    for i in np.flatnonzero(e - s > LONG):
+        h[i] = long_hash(own[s[i] : e[i]].tobytes().translate(_FOLD))
+    return h, np.diff(np.searchsorted(s, offsets - base))
+
+
+def long_hash(x: bytes) -> np.uint64:
+    return np.uint64(int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little"))
 
 
 def shingle_hashes(data: np.ndarray, offsets: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
