@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
 from functools import reduce
 
@@ -11,25 +12,26 @@ from pyspark.sql import functions as F
 
 #: Apostrophes that a search form drops.
 APOSTROPHES = "['’‘`]"
-#: The highest code point whose accent is taken off.
-LAST_ACCENTED = 0x24F
 #: Entities that repaired markup may hold.
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 
 
+def bare(text: str) -> str:
+    """A text without accents: canonical decomposition, marks dropped, what is left composed."""
+    return unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.category(c).startswith("M")))
+
+
 @functools.lru_cache(maxsize=1)
 def accent_table() -> tuple[str, str]:
-    """Accented Latin letters and the ASCII letters under them, from canonical decompositions."""
-    pairs = []
-    for c in map(chr, range(0x80, LAST_ACCENTED + 1)):
-        bare = "".join(x for x in unicodedata.normalize("NFD", c) if not unicodedata.combining(x))
-        if len(bare) == 1 and bare != c and bare.isascii():
-            pairs.append((c, bare))
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+    """All letters with accents and the letters under them; marks on their own, which have nothing under them, come last."""
+    points = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+    changed = [(c, x) for c in points if (x := bare(c)) != c]
+    letters = [(c, x) for c, x in changed if len(x) == 1]
+    return "".join(c for c, _ in letters) + "".join(c for c, x in changed if not x), "".join(x for _, x in letters)
 
 
 def strip_accents(col: Column) -> Column:
-    """Latin letters without their accents."""
+    """Letters without their accents."""
     return F.translate(col, *accent_table())
 
 
@@ -40,6 +42,13 @@ def search_norm(col: Column) -> Column:
     return F.btrim(F.regexp_replace(F.replace(spaced, F.lit(" x "), F.lit(" ")), " +", " "), F.lit(" "))
 
 
+def search_form(text: str | None) -> str:
+    """search_norm of one text that the driver holds, such as a query."""
+    plain = re.sub(APOSTROPHES, "", bare(text or "").lower())
+    spaced = " " + re.sub("[^a-z0-9]+", " ", plain) + " "
+    return re.sub(" +", " ", spaced.replace(" x ", " ")).strip(" ")
+
+
 def without_subgenus(col: Column) -> Column:
     return F.regexp_replace(col, r"\s*\([^)]*\)", "")
 

@@ -200,6 +200,39 @@ def rank_index(cards: DataFrame, ranks: list[str] | None = None) -> DataFrame:
     return out
 
 
+def rank_hits(index: DataFrame, norm: str, n: int) -> DataFrame:
+    """The n best taxa of an index whose search form holds norm, with a tier: 0 the same, 1 at the start of a word, 2 within one."""
+    tier = F.when(F.col("norm") == norm, 0).when(F.contains(F.concat(F.lit(" "), "norm"), F.lit(" " + norm)), 1).otherwise(2)
+    depth = F.array_position(F.array(*map(F.lit, RANKS)), F.col("rank"))
+    return index.where(F.contains("norm", F.lit(norm))).withColumn("tier", tier).orderBy("tier", F.desc("records"), depth, "name", *RANKS).limit(n)
+
+
+def _above(rank: Column) -> Column:
+    """Names of the ranks above a taxon's own, nearest first; '' where one is missing."""
+    depth = F.array_position(F.array(*map(F.lit, RANKS)), rank).cast("int")
+    return F.reverse(F.slice(F.array(*(F.coalesce(F.col(r), F.lit("")) for r in RANKS)), F.lit(1), depth - 1))
+
+
+def labelled(hits: DataFrame, index: DataFrame) -> DataFrame:
+    """hits with a label: rank, name and in brackets what tells it from all taxa of that rank and name.
+
+    That is the nearest named parent, or where others share it, as many parents from the nearest upward
+    as no other has alike, missing ones written "no <rank>". The kingdom has none.
+    """
+    named = lambda x: F.get(F.filter(x, lambda name: name != ""), 0)
+    mine = hits.withColumn("above", _above(F.col("rank")))
+    others = mine.select("rank", "name").distinct().join(index.select("rank", "name", _above(F.col("rank")).alias("above")), ["rank", "name"]).groupBy("rank", "name").agg(F.collect_list("above").alias("others"))
+    rows = mine.join(others, ["rank", "name"], "left").withColumn("others", F.filter(F.coalesce("others", F.array().cast("array<array<string>>")), lambda x: x != F.col("above")))
+    counts = F.sequence(F.lit(1), F.greatest(F.size("above"), F.lit(1)))
+    apart = lambda k: ~F.exists("others", lambda x: F.slice(x, F.lit(1), k) == F.slice("above", F.lit(1), k)) & named(F.slice("above", F.lit(1), k)).isNotNull()
+    enough = F.coalesce(F.get(F.filter(counts, apart), 0), F.size("above"))
+    ranks_above = F.reverse(F.slice(F.array(*map(F.lit, RANKS)), F.lit(1), F.size("above")))
+    written = F.transform(F.slice("above", F.lit(1), enough), lambda x, i: F.when(x != "", x).otherwise(F.concat(F.lit("no "), F.get(ranks_above, i))))
+    alone = ~F.exists("others", lambda x: named(x).eqNullSafe(named(F.col("above"))))
+    words = F.when(named(F.col("above")).isNull(), F.lit("")).when(alone, F.concat(F.lit(" ("), named(F.col("above")), F.lit(")"))).otherwise(F.concat(F.lit(" ("), F.array_join(written, ", "), F.lit(")")))
+    return rows.withColumn("label", F.concat(F.initcap("rank"), F.lit(" "), "name", words)).drop("above", "others")
+
+
 def path_is(path: dict[str, str | None]) -> Column:
     """A taxon is its whole path; missing ranks are compared null-safely."""
     out = F.lit(True)

@@ -41,7 +41,7 @@ class Atlas:
     def open(cls, spark: SparkSession, root: str, hidden: list[str] | None = None) -> Atlas:
         return cls(spark, {name: spark.read.parquet(f"{root}/{name}") for name in schemas.TABLES}, hidden)
 
-    # --- derived -----------------------------------------------------------------------------------
+    # derived
 
     @property
     def hexes(self) -> DataFrame:
@@ -51,6 +51,10 @@ class Atlas:
     def cards(self) -> DataFrame:
         return self.tables["species_card"]
 
+    def shown(self, rows: DataFrame) -> DataFrame:
+        """Rows of species that may be shown; rows without a species stay."""
+        return rows.where(~F.coalesce("specieskey", F.lit("")).isin(self.hidden)) if self.hidden else rows
+
     @cached_property
     def names(self) -> DataFrame:
         return cat.search_names(self.cards, self.tables.get("bcsee_status")).cache()
@@ -61,7 +65,8 @@ class Atlas:
 
     @cached_property
     def ranks(self) -> DataFrame:
-        return species.rank_index(self.cards).withColumn("norm", tx.search_norm(F.col("name"))).cache()
+        """Every taxon with what it holds of shown species."""
+        return species.rank_index(self.shown(self.cards)).withColumn("norm", tx.search_norm(F.col("name"))).cache()
 
     @cached_property
     def catalogue(self) -> DataFrame:
@@ -77,7 +82,7 @@ class Atlas:
         english = F.get(F.transform(F.filter("entries", lambda e: e["is_species_level"]), lambda e: e["common_label"]), F.lit(0))
         return own.join(status.select(F.col("gbif_species_key").alias("specieskey"), F.nullif(F.btrim(english), F.lit("")).alias("english_name"), "statuses"), "specieskey", "left").cache()
 
-    # --- validation --------------------------------------------------------------------------------
+    # validation
 
     def year_range(self, first: int | None, last: int | None) -> tuple[int | None, int | None]:
         """Open ends filled from the data; an empty range is refused."""
@@ -102,7 +107,7 @@ class Atlas:
             raise Unknown(key)
         return row.specieskey, key if key != row.specieskey else None
 
-    # --- numbers, cards, maps ----------------------------------------------------------------------
+    # numbers, cards, maps
 
     def meta(self) -> DataFrame:
         return self.hexes.agg(F.sum("occurrences").alias("records"), F.countDistinct("specieskey").alias("species"), F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.coalesce(F.sum(F.when(F.col("year").isNull(), F.col("occurrences"))), F.lit(0)).alias("no_year"))
@@ -121,7 +126,7 @@ class Atlas:
         a, b = self.year_range(first, last)
         return {"cells": species.overview(self.hexes, self.resolution(res), a, b), "left_out": species.left_out(self.hexes, a, b)}
 
-    # --- species lists -----------------------------------------------------------------------------
+    # species lists
 
     def _list(self, counted: DataFrame, q: str | None, statuses: list[str] | None, sort: str, page: int, size: int | None) -> dict:
         """One page of a species list, and its counts by status: under the name filter, whatever the status filter."""
@@ -134,7 +139,7 @@ class Atlas:
         none = F.array(F.lit("none"))
         rows = rows.withColumn("options", F.when(F.size(F.coalesce("statuses", F.array().cast("array<string>"))) > 0, F.transform("statuses", lambda s: F.lower(s))).otherwise(none))
         if q:
-            norm = self.spark.range(1).select(tx.search_norm(F.lit(q)).alias("n")).first().n
+            norm = tx.search_form(q)
             if len(norm.replace(" ", "")) < 2:
                 raise BadRequest("a name filter needs at least two letters or digits")
             rows = rows.join(self.names.where(F.contains("norm", F.lit(norm))).select("specieskey").distinct(), "specieskey", "left_semi")
@@ -156,8 +161,8 @@ class Atlas:
         except ValueError as e:
             raise BadRequest(str(e)) from e
         a, b = self.year_range(first, last)
-        rows = self._of_rank(self.hexes, rank)
-        counted = species.species_in_cells(rows, [cell], res, a, b, self.hidden)
+        rows = self.shown(self._of_rank(self.hexes, rank))
+        counted = species.species_in_cells(rows, [cell], res, a, b)
         return self._list(counted, q, statuses, sort, page, size) | {"left_out": species.left_out(rows.where(F.col(f"h3_r{res}") == cell), a, b), "by_year": species.records_by_year(rows.where(F.col(f"h3_r{res}") == cell))}
 
     def area_species(self, text: str, res: int, first: int | None = None, last: int | None = None, q: str | None = None, statuses: list[str] | None = None, sort: str = "most_records", page: int = 1, size: int | None = 50) -> dict:
@@ -173,12 +178,12 @@ class Atlas:
         counted = species.species_in_cells(self.hexes, frame, res, a, b, self.hidden)
         return self._list(counted, q, statuses, sort, page, size) | {"cells": len(cells)}
 
-    # --- ranks -------------------------------------------------------------------------------------
+    # ranks
 
     def _of_rank(self, rows: DataFrame, path: dict[str, str | None] | None) -> DataFrame:
         if not path:
             return rows
-        members = self.cards.where(species.path_is(path))
+        members = self.shown(self.cards).where(species.path_is(path))
         if members.isEmpty():
             raise Unknown(str(path))
         return rows.join(members.select("specieskey"), "specieskey", "left_semi")
@@ -198,28 +203,23 @@ class Atlas:
         undated = self._of_rank(self.species_year, path).where("year is null").agg(F.coalesce(F.sum("records"), F.lit(0)).alias("no_year"))
         return self._list(counted, options.get("q"), options.get("statuses"), options.get("sort", "most_records"), options.get("page", 1), options.get("size", 50)) | {"children": children, "undated": undated}
 
-    # --- search ------------------------------------------------------------------------------------
+    # search
 
     def search(self, q: str, limit: int = 20, rank_limit: int = 5) -> dict:
         """Species by name, and taxa of higher rank whose names begin with the query, told apart by their nearest named parents."""
         if not 0 < limit <= 50 or not 0 < rank_limit <= 20:
             raise BadRequest("limits are 1 to 50 and 1 to 20")
-        norm = self.spark.range(1).select(tx.search_norm(F.lit(q)).alias("n")).first().n
+        norm = tx.search_form(q)
         if len(norm.replace(" ", "")) < 2:
             raise BadRequest("a search needs at least two letters or digits")
-        place = F.array_position(F.array(*map(F.lit, schemas.RANKS)), F.col("rank"))
-        hits = self.ranks.where(F.contains(F.concat(F.lit(" "), F.col("norm")), F.lit(" " + norm)))
-        parents = F.filter(F.reverse(F.slice(F.array(*schemas.RANKS), F.lit(1), (place - 1).cast("int"))), lambda x: x.isNotNull())
-        found = hits.withColumn("parent", F.coalesce(F.get(parents, F.lit(0)), F.concat(F.lit("no "), F.get(F.array(*map(F.lit, ["rank", *schemas.RANKS])), (place - 1).cast("int")))))
-        ranked = found.orderBy((F.col("norm") != norm).cast("int"), F.desc("records"), place, "name", *schemas.RANKS).limit(rank_limit)
-        return {"species": cat.tiered_search(self.names, self.cards, q, limit, self.hidden), "ranks": ranked}
+        return {"species": cat.tiered_search(self.names, self.cards, q, limit, self.hidden), "ranks": species.labelled(species.rank_hits(self.ranks, norm, rank_limit), self.ranks)}
 
-    # --- datasets ----------------------------------------------------------------------------------
+    # datasets
 
     def list_datasets(self, q: str | None = None, sort: str = "relevance", page: int = 1, size: int | None = 20, species_key: str | None = None, **filters) -> dict:
         if sort not in datasets.SORTS:
             raise BadRequest(f"sort must be one of {', '.join(datasets.SORTS)}")
-        norm = self.spark.range(1).select(tx.search_norm(F.lit(q)).alias("n")).first().n if q and q.strip() else ""
+        norm = tx.search_form(q) if q and q.strip() else ""
         if q and q.strip() and len(norm.replace(" ", "")) < 2:
             raise BadRequest("a search needs at least two letters or digits")
         asked = datasets.words(norm)
@@ -244,7 +244,7 @@ class Atlas:
         links = self.tables["dataset_species_links"].where(F.col("dataset_id") == first.id).orderBy("position")
         return {"copy_of": first.id if first.id != key else None, "dataset": row, "links": links.join(self.cards.select("specieskey", "col_name"), "specieskey", "left")}
 
-    # --- exports: the same lists without pages -----------------------------------------------------
+    # exports: the same lists without pages
 
     def _export(self, results: DataFrame, order: list[str], title: str, notes: list[str]) -> Iterator[str]:
         total = self.meta().first()

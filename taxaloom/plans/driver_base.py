@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from taxaloom.operators import grid, species
 from taxaloom.operators.relational import rewrite_key
+from taxaloom.plans.shared import served
 
 #: Both engines read these texts alike.
 OCC = """
@@ -44,7 +45,7 @@ FROM occ WHERE specieskey IS NOT NULL GROUP BY specieskey
 """
 #: Documents as catalogue records.
 RECORDS = """
-SELECT 'rec/' || CAST(doc_id AS STRING) AS id, doc_id, substr(text, 1, 40) AS title, substr(text, 1, 400) AS abstract, source,
+SELECT 'rec/' || CAST(doc_id AS STRING) AS id, doc_id, split_part(text, '.', 1) AS title, text AS abstract, source,
        CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 10 = 0 THEN '' ELSE CAST(1990 + doc_id % 30 AS STRING) || '-0' || CAST(1 + doc_id % 9 AS STRING) END AS issued,
        CASE CAST(doc_id % 4 AS INTEGER) WHEN 0 THEN 'bc_only' WHEN 1 THEN 'all_canada' WHEN 2 THEN 'global' ELSE 'unknown' END AS final_class,
        CASE CAST(doc_id % 3 AS INTEGER) WHEN 0 THEN 'bc_data' WHEN 1 THEN 'pending' ELSE 'hidden' END AS frontend_group, lang
@@ -92,12 +93,24 @@ class Roles:
     def celled(self) -> DataFrame:
         return species.with_cells(self.keyed)
 
+    @property
+    def built_hex(self) -> DataFrame:
+        """The build of the table that maps and lists read."""
+        return species.species_hex(self.celled)
+
+    def _served(self, name: str, build, write) -> DataFrame:
+        return served(self.spark, name, [f"{self.dir}/{t}.parquet" for t in ("lineitem", "part")], build, write)
+
     @cached_property
     def hex(self) -> DataFrame:
-        return species.species_hex(self.celled)
+        return self._served("species_hex", lambda: self.built_hex, species.write_species_hex)
 
     @cached_property
     def card(self) -> DataFrame:
+        return self._served("species_card", lambda: self.built_card, lambda df, path: df.write.option("compression", "zstd").parquet(path))
+
+    @property
+    def built_card(self) -> DataFrame:
         first = lambda c: F.first(c).alias(c)
         return self.occ.where("specieskey is not null").groupBy("specieskey").agg(*(first(c) for c in species.RANKS), F.min("species").alias("col_name"), F.count("*").alias("record_count"))
 

@@ -13,6 +13,7 @@ from taxaloom.operators import catalogue as cat
 from taxaloom.operators import authors, checks, evaluation, grid, places, polygons, species, statuses
 from taxaloom.operators import relational as rel
 from taxaloom.plans import datasets
+from taxaloom.plans.atlas import Atlas
 from taxaloom.plans.driver_base import DUCK_NORM, Roles, sql
 
 QUERIES: dict[str, Callable] = {}
@@ -52,7 +53,7 @@ def records_left_out(r):
 
 @query("SELECT specieskey, year, h3_r4, h3_r5, h3_r6, h3_r7, occurrences FROM hex", "hex")
 def species_hex_build(r):
-    return r.hex
+    return r.built_hex
 
 
 @query("SELECT h3_r5 AS cell, CAST(sum(occurrences) AS BIGINT) AS records FROM hex WHERE specieskey = 'K50' AND h3_r5 IS NOT NULL GROUP BY 1", "hex")
@@ -233,6 +234,73 @@ def rank_search(r):
     return rows.where(tx.has_word_starting(F.concat(F.lit(" "), norm), "brand 1")).select("rank", "name", "records", F.when(norm == "brand 1", 0).otherwise(1).alias("tier"))
 
 
+HIDDEN = [f"K{i}" for i in range(0, 3000, 3)]
+_HIDDEN = "CAST(substr(specieskey, 2) AS BIGINT) % 3 = 0 AND CAST(substr(specieskey, 2) AS BIGINT) < 3000"
+
+
+def _atlas(r, hidden=None):
+    return Atlas(r.spark, {"species_hex": r.hex, "species_card": r.card}, hidden)
+
+
+@query(f"SELECT specieskey, CAST(sum(occurrences) AS BIGINT) AS records FROM hex WHERE specieskey IN ({MEMBERS}) AND NOT ({_HIDDEN}) AND year BETWEEN 1996 AND 1999 GROUP BY 1", "hex", "card")
+def rank_card_hidden(r):
+    return _atlas(r, HIDDEN).rank_card({"kingdom": "PROMO", "phylum": "Brand#3"}, 1996, 1999, size=None)["results"].select("specieskey", "records")
+
+
+@query(f"SELECT class_ AS name, count(*) AS species, CAST(sum(records) AS BIGINT) AS records FROM (SELECT specieskey, sum(occurrences) AS records FROM hex GROUP BY 1) h JOIN card USING (specieskey) WHERE specieskey IN ({MEMBERS}) AND NOT ({_HIDDEN}) GROUP BY 1", "hex", "card")
+def rank_children_hidden(r):
+    return _atlas(r, HIDDEN).rank_card({"kingdom": "PROMO", "phylum": "Brand#3"}, size=None)["children"]
+
+
+@query(f"SELECT CAST(coalesce(sum(occurrences), 0) AS BIGINT) AS no_year FROM hex WHERE year IS NULL AND specieskey IN ({MEMBERS}) AND NOT ({_HIDDEN})", "hex", "card")
+def rank_undated_hidden(r):
+    return _atlas(r, HIDDEN).rank_card({"kingdom": "PROMO", "phylum": "Brand#3"}, 1996, 1999)["undated"]
+
+
+@query(f"SELECT h3_r4 AS cell, CAST(sum(occurrences) AS BIGINT) AS records, CAST(count(DISTINCT specieskey) AS INTEGER) AS distinct_species FROM hex WHERE specieskey IN ({MEMBERS}) AND NOT ({_HIDDEN}) AND h3_r4 IS NOT NULL GROUP BY 1", "hex", "card")
+def rank_map_hidden(r):
+    return _atlas(r, HIDDEN).rank_hexes({"kingdom": "PROMO", "phylum": "Brand#3"}, 4)["cells"]
+
+
+_BUSIEST = "(SELECT h3_r4 FROM hex WHERE h3_r4 IS NOT NULL GROUP BY 1 ORDER BY sum(occurrences) DESC, h3_r4 LIMIT 1)"
+
+
+@query(f"SELECT year, CAST(sum(occurrences) AS BIGINT) AS records FROM hex WHERE h3_r4 = {_BUSIEST} AND coalesce(NOT ({_HIDDEN}), true) GROUP BY 1", "hex")
+def cell_years_hidden(r):
+    return _atlas(r, HIDDEN).cell_species(_busy(r, 1).first().cell)["by_year"]
+
+
+_INDEX = "SELECT *, CASE WHEN norm = '{q}' THEN 0 WHEN ' ' || norm LIKE '% {q}%' THEN 1 ELSE 2 END AS tier FROM (SELECT *, " + DUCK_NORM.format("name") + " AS norm FROM (" + " UNION ALL ".join(
+    f"SELECT '{_SHOWN[i].strip(chr(34))}' AS rank, {i} AS depth, {c} AS name, [{', '.join(reversed([f'coalesce({x}, {chr(39)*2})' for x in _PATH[:i]]))}]::VARCHAR[] AS above, "
+    + ", ".join(f"{p if j <= i else 'CAST(NULL AS VARCHAR)'} AS {_SHOWN[j]}" for j, p in enumerate(_PATH)) + f", count(*) AS species, CAST(sum(record_count) AS BIGINT) AS records FROM card WHERE {c} IS NOT NULL AND NOT ({_HIDDEN}) GROUP BY " + ", ".join(_PATH[: i + 1])
+    for i, c in enumerate(_PATH)
+) + "))"
+_BEST = "SELECT * FROM (" + _INDEX + ") WHERE norm LIKE '%{q}%' ORDER BY tier, records DESC, depth, name, " + ", ".join(f"{c} NULLS FIRST" for c in _SHOWN) + " LIMIT {n}"
+
+
+@query("SELECT rank, name, " + ", ".join(_SHOWN) + ", species, records, CAST(tier AS INTEGER) AS tier FROM (" + _BEST.format(q="and 1", n=20) + ")", "card")
+def rank_search_contains(r):
+    """Nothing begins a word with it: all hits are of the last tier."""
+    return _atlas(r, HIDDEN).search("AND#1", rank_limit=20)["ranks"].select("rank", "name", *species.RANKS, "species", "records", "tier")
+
+
+_NAMED = "list_filter({0}, lambda z: z <> '')[1]"
+_RANKS_ABOVE = "list_reverse(['kingdom', 'phylum', 'class', 'order', 'family', 'genus'][1:h.depth])"
+
+
+@query(
+    f"""SELECT rank, name, upper(rank[1]) || substr(rank, 2) || ' ' || name || CASE WHEN {_NAMED.format('above')} IS NULL THEN '' WHEN alone THEN ' (' || {_NAMED.format('above')} || ')' ELSE ' (' || array_to_string(list_transform(range(1, k + 1), lambda i: CASE WHEN above[i] <> '' THEN above[i] ELSE 'no ' || ranks_above[i] END), ', ') || ')' END AS label FROM (
+    SELECT rank, name, above, {_RANKS_ABOVE} AS ranks_above,
+    NOT EXISTS (SELECT 1 FROM ({_INDEX.format(q='x')}) o WHERE o.rank = h.rank AND o.name = h.name AND o.above <> h.above AND {_NAMED.format('o.above')} IS NOT DISTINCT FROM {_NAMED.format('h.above')}) AS alone,
+    coalesce((SELECT min(c.k) FROM (SELECT unnest(range(1, 6)) AS k) c WHERE c.k <= len(h.above) AND {_NAMED.format('h.above[1:c.k]')} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM ({_INDEX.format(q='x')}) o WHERE o.rank = h.rank AND o.name = h.name AND o.above <> h.above AND o.above[1:c.k] = h.above[1:c.k])), len(above)) AS k
+    FROM ({_BEST.format(q='f1', n=12)}) h)""",
+    "card",
+)
+def rank_labels(r):
+    """Families of one name under many orders, whose nearest parents are shared."""
+    return _atlas(r, HIDDEN).search("F1", rank_limit=12)["ranks"].select("rank", "name", "label")
+
+
 NAMES = f"(SELECT DISTINCT specieskey, 'col_name' AS field, col_name AS name, {DUCK_NORM.format('col_name')} AS norm FROM card)"
 
 
@@ -588,9 +656,20 @@ def merge_candidates(r):
     return species.merge_candidates(rows, ["phylum"]).drop("empty_levels")
 
 
-@query(f"SELECT doc_id, {DUCK_NORM.format('substr(text, 1, 300)')} AS norm FROM documents")
+@query(f"SELECT doc_id, {DUCK_NORM.format('text')} AS norm FROM documents")
 def search_norm(r):
-    return r.table("documents").select("doc_id", tx.search_norm(F.substring("text", 1, 300)).alias("norm"))
+    return r.table("documents").select("doc_id", tx.search_norm(F.col("text")).alias("norm"))
+
+
+#: Code points of many scripts, marks among them.
+_POINTS = "SELECT chr(CAST(i AS INTEGER)) AS t, i FROM (SELECT CAST(unnest(range(1, 12032)) AS BIGINT) AS i)"
+
+
+@query(f"SELECT i, strip_accents('a' || t || 'b') AS bare, strip_accents('Việt é Ünï ' || t) AS word FROM ({_POINTS})")
+def accents_all(r):
+    t = F.decode(F.unhex(F.lpad(F.hex("i"), 8, "0")), "UTF-32")
+    rows = r.spark.range(1, 12032).select(F.col("id").alias("i"), t.alias("t"))
+    return rows.select("i", tx.strip_accents(F.concat(F.lit("a"), "t", F.lit("b"))).alias("bare"), tx.strip_accents(F.concat(F.lit("Việt é Ünï "), "t")).alias("word"))
 
 
 @query("SELECT doc_id, strip_accents(text) AS bare FROM documents")

@@ -198,14 +198,36 @@ def test_polygons(spark):
     inside = [r.i for r in pts.select(polygons.in_ring(F.col("x"), F.col("y"), tri).alias("i")).collect()]
     edge = [r.i for r in pts.select(polygons.in_ring(F.col("x"), F.col("y"), tri, True).alias("i")).collect()]
     assert inside == [True, False, False, False, False] and edge == [True, True, True, False, False]
-    region = polygons.Region(tri)
-    assert region.classify(-127, 54, -126, 55) == "inside"
-    assert region.classify(-127, 55, -126, 54) == "inside"  # swapped edges
-    assert region.classify(10, 10, 11, 11) == "outside"
-    assert region.classify(-180, -80, 180, 80) == "huge"
-    assert region.classify(5, 5, 5, 9) is None
-    assert region.classify(-139, 48, -114, 60) == "bc_wide"
-    assert region.repair(170, 50, -170, 60) == [(170, 50, 180.0, 60), (-180.0, 50, -170, 60)]
+
+
+def test_boxes(spark):
+    tri = [(-139.0, 60.0), (-114.0, 60.0), (-126.5, 48.0)]
+    cases = [
+        ((-127, 54, -126, 55), "inside"), ((-127, 55, -126, 54), "inside"), ((10, 10, 11, 11), "outside"), ((-180, -80, 180, 80), "huge"), ((5, 5, 5, 9), None),
+        ((-139, 48, -114, 60), "bc_wide"), ((0, 86, 9, 89), "outside"), ((-126, 54, -127, 55), "inside"), ((None, 1, 2, 3), None), ((-128, 49, -125, 52), "mostly_bc"), ((-139, 59, -100, 75), "partly_bc"),
+    ]
+    df = spark.createDataFrame([(i, *(float(x) if x is not None else None for x in b)) for i, (b, _) in enumerate(cases)], "i int, w double, s double, e double, n double")
+    got = {r.i: r for r in polygons.classify_boxes(df, tri).collect()}
+    assert [got[i].box_class for i in range(len(cases))] == [k for _, k in cases]
+    right = {k: spark.createDataFrame([(170.0, 50.0, -170.0, 60.0)], "w double, s double, e double, n double").select(v.alias("v")).first().v for k, v in polygons.repaired(*(F.col(c) for c in "wsen")).items()}
+    assert right == {"south": 50.0, "north": 60.0, "split": True, "none": False, "west": 170.0, "east": -170.0}
+
+
+def test_areas_of_a_bent_outline():
+    """A concave outline with vertices off any grid, against a fine raster."""
+    import numpy as np
+
+    ring = [(-139.3, 59.7), (-127.1, 55.2), (-114.6, 59.9), (-117.7, 48.3), (-126.2, 51.9), (-136.8, 47.6)]
+    outline = polygons.Outline(ring)
+    rnd = np.random.default_rng(3)
+    lon, y = rnd.uniform(-145, -110, 400_000), rnd.uniform(np.sin(np.radians(45)), np.sin(np.radians(62)), 400_000)
+    inside = polygons.Ring([(np.radians(a), np.sin(np.radians(b))) for a, b in ring]).contains(np.radians(lon), y)
+    whole = np.radians(35) * (np.sin(np.radians(62)) - np.sin(np.radians(45)))
+    assert abs(inside.mean() * whole / outline.area - 1) < 0.02
+    for w, s, e, n in rnd.uniform([-145, 45, -130, 53], [-130, 53, -110, 62], (20, 4)):
+        box = [np.array([v]) for v in (np.radians(w), np.sin(np.radians(s)), np.radians(e), np.sin(np.radians(n)))]
+        want = (inside & (lon >= w) & (lon <= e) & (y >= box[1]) & (y <= box[3])).mean() * whole
+        assert abs(outline.within(*box)[0] - want) < 0.01 * outline.area
 
 
 # --- functions ---
