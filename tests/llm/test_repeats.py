@@ -9,9 +9,9 @@ from taxaloom.llm.common import ship
 
 
 def brute(rows, length=100):
-    """rows: (doc_id, text) -> {doc_id: (n_bytes, n_removed, n_spans, sha)}; rows of one doc_id are repeats."""
+    """rows: (doc_id, digest, text) -> {row: (n_bytes, n_removed, n_spans, sha)}; equal rows are repeats."""
     first, out = {}, {}
-    texts = {(d if d is not None else 2**63 - 1): (t or "").encode() for d, t in rows}
+    texts = {(d if d is not None else 2**63 - 1, x): (t or "").encode() for d, x, t in rows}
     for d in sorted(texts):
         b = texts[d]
         for s in range(len(b) - length + 1):
@@ -26,17 +26,22 @@ def brute(rows, length=100):
     return out
 
 
-def run(spark, rows, schema="doc_id long, text string"):
-    ship(spark)
-    df = spark.createDataFrame(rows, schema)
+def digests(df):
+    return [tuple(r) for r in df.select("doc_id", F.xxhash64("text"), "text").collect()]
+
+
+def run(df):
     out = repeats.remove_repeats(df.select("doc_id", "text"))
     gone = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
-    return [(r[0] if r[0] is not None else 2**63 - 1, tuple(r[1:])) for r in out.select("doc_id", F.length("kept") + gone, gone, F.size("removed_spans"), F.sha2("kept", 256)).collect()]
+    key = F.coalesce("doc_id", F.lit(2**63 - 1))
+    return [((r[0], r[1]), tuple(r[2:])) for r in out.select(key, F.xxhash64("text"), F.length("kept") + gone, gone, F.size("removed_spans"), F.sha2("kept", 256)).collect()]
 
 
 def check(spark, rows):
-    want = brute(rows)
-    got = run(spark, rows)
+    ship(spark)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(digests(df))
+    got = run(df)
     assert len(got) == len(rows)
     for d, r in got:
         assert r == want[d], d
@@ -45,8 +50,7 @@ def check(spark, rows):
 def test_documents(spark, sf_dir):
     from taxaloom.llm.common import documents
 
-    rows = [tuple(r) for r in documents(spark, sf_dir).select("doc_id", "text").collect()]
-    want = brute(rows)
+    want = {d: r for (d, _), r in brute(digests(documents(spark, sf_dir))).items()}
     got = {r[0]: tuple(r[1:]) for r in repeats.op1_suffix_repeats(spark, sf_dir).collect()}
     assert got == want
     assert sum(r[1] for r in want.values()) > 0
@@ -74,7 +78,7 @@ def test_small_flushes(spark, monkeypatch, hot):
 
 
 def test_empty(spark):
-    assert run(spark, []) == []
+    check(spark, [])
 
 
 def test_columns_pass_through(spark):
@@ -100,7 +104,32 @@ def test_long_texts_go_in_stretches(spark, monkeypatch):
     import numpy as np
     import pyarrow as pa
 
-    for batch in repeats.anchor_rows(100, 10**9)(iter([pa.record_batch([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["d", "t"])])):
+    for batch in repeats.anchor_rows(100, 10**9)(iter([pa.record_batch([pa.array([r[0] for r in rows]), pa.array([0, 0, 0]), pa.array([r[1] for r in rows])], names=["d", "x", "t"])])):
         held.append(batch)
-    assert sum(len(b) for b in held) > 0 and max(int(np.max(b.column(3).to_numpy() >> 32)) for b in held) > 1000
+    assert sum(len(b) for b in held) > 0 and max(int(np.max(b.column(4).to_numpy() >> 32)) for b in held) > 1000
     check(spark, rows)
+
+
+def test_repeated_and_missing_ids(spark):
+    """A row loses what an earlier row has, whatever other rows of its id lose."""
+    rnd = random.Random(11)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    p, a, b = text(150), text(600), text(700)
+    rows = [(1, p), (None, a), (None, b[:300] + p + b[300:]), (7, a[:50] + b[:200]), (7, text(500)), (7, p + text(90)), (7, p + "!"), (None, p), (None, None), (None, a)]
+    check(spark, rows)
+
+
+def test_factors_are_the_longest():
+    """Lengths, not only what is cut, as in a quadratic version."""
+    import numpy as np
+
+    rnd = random.Random(12)
+    for n, kinds, cap in ((400, "ab", 100), (600, "abc", 97), (500, "a", 100), (300, "abcdefgh", 128), (700, "ab", 200)):
+        part = "".join(rnd.choice(kinds) for _ in range(n // 3))
+        raw = (part + "".join(rnd.choice(kinds) for _ in range(n // 5)) + part + part[: n // 4] + "#" * cap).encode()
+        at = np.array(rnd.sample(range(len(raw) - cap), min(200, len(raw) - cap)))
+        place = np.array([rnd.randrange(150) for _ in at])
+        want = [max((next((k for k in range(cap) if raw[i + k] != raw[j + k]), cap) for j, q in zip(at.tolist(), place.tolist()) if q < p), default=0) for i, p in zip(at.tolist(), place.tolist())]
+        data = np.frombuffer(raw, np.uint8)
+        assert repeats.previous_factors(data, at, place, cap).tolist() == want
+        assert (repeats.previous_factors(data, at, place, cap, cap) >= cap).tolist() == [x >= cap for x in want]
