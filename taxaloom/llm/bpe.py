@@ -7,6 +7,10 @@ their composition is associative, and one maximum scan composes all of them and
 start of its run. What the pattern adds to runs - a blank that goes with the run after it, white space
 that gives up its last character, contractions - depends on a run's ends alone.
 
+A long text goes in parts of bounded size, cut where a slice begins whatever stands around: where the
+class changes, but for white space and what follows an apostrophe, and before a single blank. Only one
+run of letters, of digits or of blanks is never cut: the pattern makes one slice of it.
+
 Slices between boundaries keep their byte offsets. Distinct slices are merged once: those that a
 bounded cache lacks go through pair merging together, as matrices of token ids; merges of one step
 happen in all rows at once.
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import byte_table, mix64, repeat_ranges, text_chunks, utf8_view
-from .shingles import cut_points
+from .shingles import LONG, long_hash
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: The code points with the White_Space property.
@@ -87,6 +91,40 @@ def boundaries(cp: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start[:n])
 
 
+def sure_starts(cp: np.ndarray) -> np.ndarray:
+    """Places within a stretch of a text at which a slice begins whatever stands before and after the stretch."""
+    cls = classes()[cp]
+    a, b = cls[:-1], cls[1:]
+    sure = np.zeros(len(cp), bool)
+    sure[1:] = (a != b) & (a != SPACE) & (b != SPACE) & ((a != OTHER) | (b != LETTER) | (cp[:-1] != 39))
+    sure[1:-1] |= (cp[1:-1] == 32) & (cls[:-2] != SPACE) & (cls[2:] != SPACE)
+    return np.flatnonzero(sure)
+
+
+def cut_points(data: np.ndarray, offsets: np.ndarray, most: int, look: int = 4096) -> np.ndarray:
+    """offsets with more places at which a slice begins, so that parts have about `most` bytes; a longer run stays whole."""
+    out = []
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        at, width = a, look
+        out.append(a)
+        while b - at > most:
+            end = min(at + most - look + width, b)
+            lo = max(end - width, at)
+            near = data[lo:end]
+            lead = np.flatnonzero((near & 0xC0) != 0x80)
+            lead = lead[:-1] if end < b else lead  # the last code point may be cut
+            text = near[lead[0] : lead[-1]].tobytes().decode("utf-8") if len(lead) > 1 else ""
+            found = sure_starts(np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int32)) if text else lead[:0]
+            if len(found) and lo + int(lead[found[-1]]) > at:
+                at, width = lo + int(lead[found[-1]]), look
+                out.append(at)
+            elif end == b:
+                break
+            else:
+                width = 2 * width
+    return np.array([*out, offsets[-1]], np.int64)
+
+
 class Vocabulary:
     """Tokens and merges of one file."""
 
@@ -203,12 +241,8 @@ class Vocabulary:
         base = int(offsets[0])
         own = np.ascontiguousarray(data[base : int(offsets[-1])])
         m = len(offsets) - 1
-        if len(own) > 4 * BYTES:  # a long text goes in parts that begin at a blank between letters, where a slice always begins
-            letter = np.zeros(len(own) + 1, bool)
-            letter[:-1] = ((own | 0x20) >= 97) & ((own | 0x20) <= 122)
-            allowed = np.zeros(len(own), bool)
-            allowed[1:] = (own[1:] == 32) & letter[: len(own) - 1] & letter[2:]
-            cuts = cut_points(allowed, offsets - base, BYTES)
+        if len(own) > 4 * BYTES:
+            cuts = cut_points(own, offsets - base, BYTES)
             found = [self.encode_chunk(own, cuts[i : i + 2]) if cuts[i + 1] - cuts[i] <= 4 * BYTES else self._encode(own[cuts[i] : cuts[i + 1]], np.array([0, cuts[i + 1] - cuts[i]])) for i in range(len(cuts) - 1)]
             parts = np.concatenate([[0], np.cumsum([len(x[0]) for x in found])])
             whose = (offsets[:-1] - base)[np.searchsorted(offsets - base, cuts[:-1], side="right") - 1]
@@ -230,6 +264,8 @@ class Vocabulary:
         total = np.zeros(len(own) + 1, np.uint64)
         np.cumsum(byte_table(23)[own] * up[: len(own)], out=total[1:])
         keys = mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        for i in np.flatnonzero(ends - starts > LONG):  # a polynomial modulo 2 ** 64 fails on long slices of regular build
+            keys[i] = long_hash(own[starts[i] : ends[i]].tobytes())
         codes, distinct = pd.factorize(keys)
         at = np.empty(len(distinct), np.int64)
         at[codes[::-1]] = np.arange(len(codes))[::-1]

@@ -90,3 +90,37 @@ def test_long_texts_in_parts(monkeypatch):
     assert enc(voc, texts) == want
     parts = voc.encode_chunk(np.frombuffer(b"".join(raw), np.uint8), off)
     assert all((a == b).all() for a, b in zip(whole, parts))
+
+
+def test_long_words_of_regular_build():
+    """A Thue-Morse word and its complement come back as the bytes they were."""
+    voc = bpe.Vocabulary(P.path("byte_bpe_multi_50k.tiktoken"))
+    want = encoder("byte_bpe_multi_50k.tiktoken")
+    x = "a"
+    while len(x) < 4096:
+        x += x.translate(str.maketrans("ab", "ba"))
+        t = f"{x} {x.translate(str.maketrans('ab', 'ba'))} {x.translate(str.maketrans('ab', 'ba'))}"
+        (ids,) = enc(voc, [t])
+        assert ids == want.encode_ordinary(t)
+        assert voc.decode(np.array(ids)).tobytes().decode() == t
+
+
+@pytest.mark.parametrize("pieces", [["字", "漢", "。", "か"], ["ab", "12", "+", "/", "Z", "9"], ["it's", "'", "'s", " ", "'re1", "é", "\n", "  ", "-"], ["word ", "x's ", "1 2 "]])
+def test_cuts_without_blanks(monkeypatch, pieces):
+    """Texts of other scripts and of code are cut too, and encode as one."""
+    rnd = random.Random(9)
+    t = "".join(rnd.choice(pieces) for _ in range(6000))
+    voc = bpe.Vocabulary(P.path("byte_bpe_multi_50k.tiktoken"))
+    whole = enc(voc, [t, "x", t[:100]])
+    monkeypatch.setattr(bpe, "BYTES", 500)
+    raw = np.frombuffer(t.encode(), np.uint8)
+    cuts = bpe.cut_points(raw, np.array([0, len(raw)]), 500, 64)
+    assert np.diff(cuts).max() < 1500
+    assert enc(voc, [t, "x", t[:100]]) == whole
+    assert whole[0] == encoder("byte_bpe_multi_50k.tiktoken").encode_ordinary(t)
+
+
+def test_one_run_stays_whole(monkeypatch):
+    monkeypatch.setattr(bpe, "BYTES", 100)
+    t = "q" * 3000
+    assert enc(bpe.Vocabulary(P.path("byte_bpe_multi_50k.tiktoken")), [t]) == [encoder("byte_bpe_multi_50k.tiktoken").encode_ordinary(t)]
