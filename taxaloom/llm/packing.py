@@ -5,7 +5,8 @@ from long to short; all pieces of one length go at once to the ranges of equal s
 most tightly. A plan is a short list of segments: of the pieces of a length, ranks r to r + m go to
 sequences s to s + m at one offset. Pieces then find their slots by their rank within their length. A
 rank is that within a hash bucket of the length plus the buckets before, so no length is ever sorted in
-one task. Ranks follow from doc_id and piece, so a lost task gives the same slots again.
+one task. Ranks follow from all that a piece is, its digest included, so a lost task gives the same
+slots again; only equal pieces of equal rows may change places.
 
 Defined results. A null or empty text has the end token alone. Repeated rows are packed each. A document
 longer than a sequence is cut so that its first piece is the shorter one.
@@ -87,12 +88,12 @@ def place(pieces: DataFrame, room: int = ROOM) -> DataFrame:
     """pieces (with doc_id, piece and length, and any other columns) with sequence_id and offset."""
     spark = pieces.sparkSession
     bucket, ahead, rank = (fresh(pieces, x) for x in ("bucket", "ahead", "rank"))
-    dealt = pieces.withColumn(bucket, F.pmod(F.xxhash64("doc_id", "piece"), F.lit(partitions(spark))))
+    dealt = pieces.withColumn(bucket, F.pmod(F.xxhash64(*pieces.columns), F.lit(partitions(spark))))
     counts = materialise(dealt.groupBy("length", bucket).agg(F.count("*").alias(ahead)), "lengths")
     segments = plan({r[0]: r[1] for r in counts.groupBy("length").agg(F.sum(ahead)).collect()}, room)
     before = Window.partitionBy("length").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("length", bucket, F.coalesce(F.sum(ahead).over(before), F.lit(0)).alias(ahead))
-    within = Window.partitionBy("length", bucket).orderBy("doc_id", "piece")
+    within = Window.partitionBy("length", bucket).orderBy(*pieces.columns)
     ranked = dealt.withColumn(rank, F.row_number().over(within)).join(offsets, ["length", bucket]).select(*pieces.columns, (F.col(rank) + F.col(ahead) - 1).alias(rank))
     table = np.array(sorted(segments), np.int64).reshape(-1, 5)
     keys = table[:, 0] << 44 | table[:, 1]
