@@ -3,7 +3,8 @@
 Base rules are regular expressions; matches of a rule are leftmost and non-overlapping, and their
 places come from the lengths of matches and of the gaps between them. The entropy rules look at
 candidates, maximal runs of a character class that hold a letter and a digit: a window slides over a
-candidate, the counts of the entering and the leaving character update the sum of c log2 c, and where
+candidate with the counts of its characters; the entering and the leaving one change their counts by
+one, and with them the sum of c log2 c. Where
 the Shannon entropy of a window reaches the class's threshold the window is part of a span. Candidates
 on the allow list give none. Entropy spans never replace base spans.
 
@@ -14,6 +15,7 @@ are sorted by start, then in the order of KINDS. Each row stands alone, so repea
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +38,9 @@ ALLOWED = [
 #: Characters of a candidate that one step looks at; longer candidates go in overlapping steps.
 STEP = 512
 
+#: Matches of a text that gather at once.
+BLOCK = 256
+
 SPAN = "struct<start:bigint,kind:int,end:bigint>"
 
 
@@ -53,22 +58,37 @@ def _numbers(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
+def _gathered(count: Column, at: Column, item: str, step) -> Column:
+    """(end, items): step(place, i, take) for i below count, with the place it starts at; take(end, items) says what comes of it.
+
+    Items gather in blocks, so that a text with very many matches isn't copied once for each.
+    """
+    none = F.array().cast(f"array<{item}>")
+
+    def block(acc, b):
+        first = b * BLOCK
+        zero = F.struct(acc["at"].alias("at"), none.alias("out"))
+        take = lambda x: lambda end, items: F.struct(end.alias("at"), F.concat(x["out"], items).alias("out"))
+        inner = F.aggregate(F.sequence(first, F.least(first + BLOCK, count) - 1), zero, lambda x, i: step(x["at"], i, take(x)))
+        return _bound(inner, lambda x: F.struct(x["at"].alias("at"), F.array_append(acc["out"], x["out"]).alias("out")))
+
+    zero = F.struct(at.cast("bigint").alias("at"), F.array().cast(f"array<array<{item}>>").alias("out"))
+    return F.aggregate(_numbers(F.ceil(count / F.lit(BLOCK)).cast("int")), zero, block, lambda acc: F.struct(acc["at"].alias("at"), F.flatten(acc["out"]).alias("out")))
+
+
 def _spans(text: Column, pattern: str, kind: int, keep: int | None = None) -> Column:
     """Spans of the pattern's matches; with keep, of those whose second group has so many characters."""
     matches, gaps = _places(text, pattern)
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if keep else F.lit(None)
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
 
     def found(all_: Column) -> Column:
-        def step(acc, i):
-            a = acc["at"] + F.length(F.get(all_["gaps"], i))
+        def step(at, i, take):
+            a = at + F.length(F.get(all_["gaps"], i))
             b = a + F.length(F.get(all_["matches"], i))
-            span = F.struct(a.cast("bigint").alias("start"), F.lit(kind).alias("kind"), b.cast("bigint").alias("end"))
-            grown = F.array_append(acc["out"], span)
-            out = F.when(F.length(F.get(all_["values"], i)) >= keep, grown).otherwise(acc["out"]) if keep else grown
-            return F.struct(b.cast("bigint").alias("at"), out.alias("out"))
+            span = F.array(F.struct(a.cast("bigint").alias("start"), F.lit(kind).alias("kind"), b.cast("bigint").alias("end")))
+            return take(b.cast("bigint"), F.when(F.length(F.get(all_["values"], i)) >= keep, span).otherwise(F.array().cast(f"array<{SPAN}>")) if keep else span)
 
-        return F.aggregate(_numbers(F.size(all_["matches"])), start, step, lambda acc: acc["out"])
+        return _gathered(F.size(all_["matches"]), F.lit(0), SPAN, step)["out"]
 
     return _bound(F.struct(matches.alias("matches"), gaps.alias("gaps"), values.alias("values")), found)
 
@@ -78,7 +98,8 @@ def _entropy_spans(text: Column, kind: int, charset: str, shortest: int, window:
     matches, gaps = _places(text, _runs(charset, shortest))
     table = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 1)))
     least = window * (math.log2(window) - threshold)  # entropy >= threshold as long as the sum of c log2 c is no more
-    count = lambda s, x: F.length(s) - F.length(F.replace(s, x, F.lit("")))
+    letters = _members(charset)
+    alphabet = "".join(letters)
     empty = F.array().cast(f"array<{SPAN}>")
 
     def span(a, b):
@@ -86,23 +107,27 @@ def _entropy_spans(text: Column, kind: int, charset: str, shortest: int, window:
 
     def scan(piece: Column, at: Column, f: Column) -> Column:
         """Spans of one piece whose first character stands at `at`."""
-        zero = F.struct(F.lit(0.0).alias("s"), F.lit(-1).cast("bigint").alias("a"), F.lit(-1).cast("bigint").alias("b"), empty.alias("out"))
+        zero = F.struct(F.array_repeat(F.lit(0), len(letters)).alias("c"), F.lit(0.0).alias("s"), F.lit(-1).cast("bigint").alias("a"), F.lit(-1).cast("bigint").alias("b"), empty.alias("out"))
 
         def step(acc, i):
-            inner = F.substr(piece, F.greatest(i - window + 1, F.lit(0)) + 1, F.least(i, F.lit(window - 1)))
-            new, old = F.substr(piece, i + 1, F.lit(1)), F.substr(piece, i - window + 1, F.lit(1))
-            leaves = i >= window
-            s = acc["s"] - F.when(leaves, _bound(count(inner, old), lambda b: F.get(f, b + 1) - F.get(f, b))).otherwise(F.lit(0.0))
-            s = s + _bound(count(inner, new), lambda a: F.get(f, a + 1) - F.get(f, a))
+            # the counts of the entering and the leaving character, by their places in the alphabet, change by one
+            place = lambda at: F.instr(F.lit(alphabet), F.substr(piece, at, F.lit(1))) - 1
+            old = F.when(i >= window, place(i - window + 1)).otherwise(F.lit(-1))
+
+            def moved(m):
+                changed = F.transform(acc["c"], lambda c, k: c + F.when(k == m["new"], 1).otherwise(0) - F.when(k == m["old"], 1).otherwise(0))
+                a, b = F.get(acc["c"], m["new"]), F.get(acc["c"], m["old"])
+                gain = F.when(m["new"] == m["old"], 0.0).otherwise(F.get(f, a + 1) - F.get(f, a) - F.when(m["old"] >= 0, F.get(f, b) - F.get(f, b - 1)).otherwise(0.0))
+                return _bound(acc["s"] + gain, lambda s: after(s, changed))
 
-            def after(s):
+            def after(s, counts):
                 high = (i >= window - 1) & (s <= least + 1e-9)
                 start, end = (at + i - window + 1).cast("bigint"), (at + i + 1).cast("bigint")
                 more = high & (acc["a"] >= 0) & (start <= acc["b"])
                 done = F.when(high & ~more & (acc["a"] >= 0), F.array_append(acc["out"], span(acc["a"], acc["b"]))).otherwise(acc["out"])
-                return F.struct(s.alias("s"), F.when(high & ~more, start).otherwise(acc["a"]).alias("a"), F.when(high, end).otherwise(acc["b"]).alias("b"), done.alias("out"))
+                return F.struct(counts.alias("c"), s.alias("s"), F.when(high & ~more, start).otherwise(acc["a"]).alias("a"), F.when(high, end).otherwise(acc["b"]).alias("b"), done.alias("out"))
 
-            return _bound(s, after)
+            return _bound(F.struct(place(i + 1).alias("new"), old.alias("old")), moved)
 
         return F.aggregate(F.sequence(F.lit(0), F.length(piece) - 1), zero, step, lambda acc: F.when(acc["a"] >= 0, F.array_append(acc["out"], span(acc["a"], acc["b"]))).otherwise(acc["out"]))
 
@@ -119,19 +144,23 @@ def _entropy_spans(text: Column, kind: int, charset: str, shortest: int, window:
             held = held & ~match.rlike(pattern)
         return F.when(held, joined).otherwise(empty)
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out"))
 
     def all_spans(all_: Column) -> Column:
-        def step(acc, i):
-            a = acc["at"] + F.length(F.get(all_["gaps"], i))
+        def step(at, i, take):
+            a = at + F.length(F.get(all_["gaps"], i))
             m = F.get(all_["matches"], i)
-            return F.struct((a + F.length(m)).cast("bigint").alias("at"), F.concat(acc["out"], of(m, a, all_["f"])).alias("out"))
+            return take((a + F.length(m)).cast("bigint"), of(m, a, all_["f"]))
 
-        return F.aggregate(_numbers(F.size(all_["matches"])), start, step, lambda acc: acc["out"])
+        return _gathered(F.size(all_["matches"]), F.lit(0), SPAN, step)["out"]
 
     return _bound(F.struct(matches.alias("matches"), gaps.alias("gaps"), table.alias("f")), all_spans)
 
 
+def _members(charset: str) -> list[str]:
+    """The characters of a class."""
+    return [c for c in map(chr, range(128)) if re.match(f"[{charset}]", c)]
+
+
 def _runs(charset: str, shortest: int) -> str:
     return rf"(?<![{charset}])[{charset}]{{{shortest},}}"
 
