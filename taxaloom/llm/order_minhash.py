@@ -40,10 +40,10 @@ def kmers(cp: np.ndarray, k: int = K) -> np.ndarray:
     """Hashes of all k-mers of code points, in text order; k is a power of two."""
     h = mix64(cp.astype(np.uint64) + N)
     if len(h) < k:
-        whole = np.uint64(0)
-        for x in h:
-            whole = whole * M1 + x
-        return mix64(np.array([whole], np.uint64)) if len(h) else h
+        whole = np.zeros(1, np.uint64)
+        for i in range(len(h)):
+            whole = whole * M1 + h[i : i + 1]
+        return mix64(whole) if len(h) else h
     size = 1
     for m in (M1, M2, M4, N, M1):
         if size == k:
