@@ -26,9 +26,6 @@ SPECIAL = [("ø", "o"), ("Ø", "O"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), (
 DIRECTIONS = ["north", "south", "east", "west", "northern", "southern", "eastern", "western", "central", "upper", "lower"]
 
 
-# --- versions --------------------------------------------------------------------------------------
-
-
 def version_marks(records: DataFrame) -> DataFrame:
     """Old versions: named in another record's `obsoletes` (an array), or not the one kept of their series.
 
@@ -39,10 +36,11 @@ def version_marks(records: DataFrame) -> DataFrame:
     named = records.select(F.col("id").alias("newer"), F.explode("obsoletes").alias("older")).where("older <> newer").join(ids, "older", "left_semi")
     replaced = named.groupBy(F.col("older").alias("id")).agg(F.array_join(F.array_sort(F.collect_set("newer")), " ").alias("replaced_by"))
     rows = records.join(replaced, "id", "left")
-    in_series = F.nullif("seriesId", F.lit(""))
+    in_series = F.col("seriesId").isNotNull() & (F.col("seriesId") != "")
     order = [F.col("replaced_by").isNull().desc(), F.desc_nulls_last(try_time(F.col("dateUploaded"))), F.desc_nulls_last(try_time(F.col("dateModified"))), F.desc("id")]
-    keeper = F.first("id").over(Window.partitionBy(in_series).orderBy(*order))
-    rows = rows.withColumn("keeper", F.when(in_series.isNotNull(), keeper))
+    keeper = F.first("id").over(Window.partitionBy("seriesId").orderBy(*order))
+    # records without a series, which may be most, never meet in one task
+    rows = rows.where(in_series).withColumn("keeper", keeper).unionByName(rows.where(~F.coalesce(in_series, F.lit(False))).withColumn("keeper", F.lit(None).cast(dict(records.dtypes)["id"])))
     a, b = F.col("replaced_by").isNotNull(), F.coalesce(F.col("keeper") != F.col("id"), F.lit(False))
     reason = F.concat_ws("+", F.when(a, "replaced"), F.when(b, "older_in_series"))
     return rows.select(*records.columns, F.when(a | b, "old").otherwise("latest").alias("version_status"), reason.alias("old_reason"), F.when(a, F.col("replaced_by")).when(b, F.col("keeper")).alias("newer_id"))
@@ -53,9 +51,6 @@ def latest_per_id(records: DataFrame, stamp: str, row: str) -> DataFrame:
     return top_per_key(records, ["id"], [F.desc_nulls_last(stamp), F.col(row)])
 
 
-# --- copies ----------------------------------------------------------------------------------------
-
-
 def copy_groups(records: DataFrame) -> DataFrame:
     """Records that share the UUID at their id's end, or title and abstract, are copies: id and copy_group (its smallest id)."""
     by_uuid = records.select("id", F.concat(F.lit("u"), tx.trailing_uuid(F.col("id"))).alias("k"))
@@ -83,9 +78,6 @@ def group_conflicts(records: DataFrame, value: str) -> DataFrame:
     return found.where("n > 1")
 
 
-# --- votes and classes -----------------------------------------------------------------------------
-
-
 def combine_votes(box_classes: Column, point_classes: Column, source_kind: Column) -> Column:
     """Struct (bc_class, decided_by) from an array of box classes, an array of point classes and the catalogue's kind.
 
@@ -140,9 +132,6 @@ def final_class(rule_class: Column, model_class: Column, source: Column, own_cat
     )
 
 
-# --- names -----------------------------------------------------------------------------------------
-
-
 def split_names(entry: Column) -> Column:
     """The names in one entry as written: what stands in brackets, what stands outside; lists in brackets and slashes are cut."""
     inside = F.flatten(F.transform(F.regexp_extract_all(entry, F.lit(r"\(([^()]*)\)"), F.lit(1)), lambda t: F.split(t, ",", -1)))
@@ -225,15 +214,27 @@ def match_names(organisms: DataFrame, names: DataFrame, genera: DataFrame, famil
 
 
 def near_names(names: DataFrame, known: DataFrame, distance: int = 2, shortest: int = 5) -> DataFrame:
-    """Names one or two letters away from known ones with the same first letter: an equi-join on letter and length, then the distance."""
+    """Names up to `distance` letters away from known ones with the same first letter.
+
+    Two texts so close share a form that both reach by leaving out at most so many letters after the
+    first: an equi-join on those forms finds the pairs, and the distance settles them.
+    """
     asked = names.select(F.col("norm").alias("name_norm")).where(F.length("norm") >= shortest).distinct()
-    asked = asked.withColumn("__l", F.explode(F.sequence(F.length("name_norm") - distance, F.length("name_norm") + distance))).withColumn("__f", F.left("name_norm", F.lit(1)))
-    found = known.withColumns({"__l": F.length("norm"), "__f": F.left("norm", F.lit(1))})
-    d = F.levenshtein(F.col("name_norm"), F.col("norm"), distance)
-    return asked.join(found, ["__f", "__l"]).withColumn("distance", d).where(F.col("distance").between(1, distance)).drop("__f", "__l")
+    forms = lambda c: F.explode(_shortened(F.col(c), distance)).alias("__v")
+    texts = known.select("norm").distinct()
+    pairs = asked.select("name_norm", forms("name_norm")).join(texts.select("norm", forms("norm")), "__v").select("name_norm", "norm").distinct()
+    near = pairs.withColumn("distance", F.levenshtein(F.col("name_norm"), F.col("norm"), distance)).where(F.col("distance").between(1, distance))
+    return near.join(known, "norm").select("name_norm", *known.columns, "distance")
 
 
-# --- taxa in texts ---------------------------------------------------------------------------------
+def _shortened(text: Column, most: int) -> Column:
+    """The text, and all that is left of it without one to `most` letters after the first."""
+    out = every = F.array(text)
+    for _ in range(most):
+        cut = lambda t: F.transform(F.sequence(F.lit(2), F.greatest(F.length(t), F.lit(2))), lambda i: F.concat(F.left(t, i - 1), F.substr(t, i + 1)))
+        out = F.array_distinct(F.flatten(F.transform(out, cut)))
+        every = F.concat(every, out)
+    return F.array_distinct(every)
 
 
 def taxa_in_text(text: Column, genera: set[str], families: set[str], epithets: set[str]) -> Column:
@@ -280,9 +281,6 @@ def coordinates_in_text(text: Column) -> Column:
     return find(text)
 
 
-# --- linkage and places ----------------------------------------------------------------------------
-
-
 def similarity(a: Column, b: Column) -> Column:
     """The share of matching text of two titles, as difflib has it without its shortcut for frequent letters."""
 

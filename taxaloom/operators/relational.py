@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from taxaloom.plans.shared import scratch_root
+from taxaloom.plans.shared import _system, scratch_root
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
@@ -101,17 +101,31 @@ def pass_through_disk(df: DataFrame, name: str) -> DataFrame:
     """df written to the folder that driver and executors share, and read back."""
     path = f"{scratch_root(df.sparkSession)}/taxaloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._taxaloom_path = path
+    return out
+
+
+def remove(*frames: DataFrame) -> None:
+    """Delete what pass_through_disk() wrote for frames that nobody reads any more."""
+    for df in frames:
+        fs, path = _system(df.sparkSession, df._taxaloom_path)
+        fs.delete(path, True)
 
 
 def connected_components(links: DataFrame) -> DataFrame:
     """(a, b) -> (node, comp): roots hook to their smallest neighbour and links are redrawn between roots until none is left."""
     live = pass_through_disk(links.select("a", "b").where("a <> b").distinct(), "links")
     nodes = pass_through_disk(links.select(F.col("a").alias("node")).union(links.select("b")).distinct().withColumn("comp", F.col("node")), "nodes")
+    done = []
     while not live.isEmpty():
         hook = live.union(live.select("b", "a")).groupBy(F.col("a").alias("u")).agg(F.min("b").alias("p")).select("u", F.least("u", "p").alias("p"))
         parent = pass_through_disk(hook.join(hook.select(F.col("u").alias("p"), F.col("p").alias("pp")), "p").select("u", F.col("pp").alias("p")), "parents")
+        done += [live, nodes, parent]
         to = lambda c, name, p=parent: p.select(F.col("u").alias(c), F.col("p").alias(name))
         live = pass_through_disk(live.join(to("a", "x"), "a").join(to("b", "y"), "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
         nodes = pass_through_disk(nodes.join(to("comp", "q"), "comp", "left").select("node", F.coalesce("q", "comp").alias("comp")), "nodes")
+        remove(*done)
+        done = []
+    remove(live)
     return nodes

@@ -113,9 +113,6 @@ def records_by_year(table: DataFrame) -> DataFrame:
     return table.groupBy("year").agg(F.sum("occurrences").alias("records"))
 
 
-# --- cards -----------------------------------------------------------------------------------------
-
-
 def taxonomy(records: DataFrame, ranks: list[str] | None = None) -> DataFrame:
     """The path of each species: one on the key's own records first, then the most common, then the first by name."""
     path = [*(ranks or RANKS), "species"]
@@ -246,9 +243,6 @@ def rank_children(members: DataFrame, child: str) -> DataFrame:
     return members.groupBy(F.col(child).alias("name")).agg(F.count("*").alias("species"), F.sum("records").alias("records"))
 
 
-# --- media -----------------------------------------------------------------------------------------
-
-
 def media_order(media: DataFrame) -> DataFrame:
     """Numbers a record's media by their place in the file."""
     return ordinal(media, ["gbifid"], [F.col("file_row")], "media_order")

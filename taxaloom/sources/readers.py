@@ -132,10 +132,15 @@ def hand_list(spark: SparkSession, rows: list[dict[str, str]], key: list[str], a
 
 
 def answers(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines with file and place; lines that are no JSON are left out."""
+    """JSON lines with file and place; lines that are no JSON are left out.
+
+    A place is where the line's part of the file starts and the line's number in that part, so places
+    are in file order however a file is split.
+    """
     kept = T.StructType.fromDDL(schema).add("_corrupt_record", "string")
-    rows = spark.read.schema(kept).option("mode", "PERMISSIVE").json(path).withColumn("file", F.input_file_name()).withColumn("place", F.monotonically_increasing_id())
-    return rows.where("_corrupt_record is null").drop("_corrupt_record")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("line")).alias("place"))
+    rows = lines.where(F.btrim("value") != "").select(F.from_json("value", kept, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("row"), "file", "place")
+    return rows.where("row._corrupt_record is null").select("row.*", "file", "place").drop("_corrupt_record")
 
 
 def first_valid(rows: DataFrame, valid: Column) -> DataFrame:

@@ -23,12 +23,16 @@ def _fs(spark: SparkSession, path: str):
 
 
 def publish(tables: dict[str, DataFrame], root: str, checks: Callable[[dict[str, DataFrame]], dict[str, DataFrame]]) -> None:
-    """Write tables beside their places, run checks on what was written, and only then put them into place."""
+    """Write tables beside their places, run checks on what was written, and only then put them into place.
+
+    The tables that were there are kept until all new ones stand; if one can't be put into place, they
+    come back and nothing has changed.
+    """
     if not tables:
         return
     spark = next(iter(tables.values())).sparkSession
     stage = f"{root}/.stage-{uuid.uuid4().hex}"
-    written = {}
+    written, moved = {}, []
     try:
         for name, df in tables.items():
             df.write.option("compression", "zstd").parquet(f"{stage}/{name}")
@@ -40,10 +44,19 @@ def publish(tables: dict[str, DataFrame], root: str, checks: Callable[[dict[str,
             new, fs = _fs(spark, f"{stage}/{name}")
             old, _ = _fs(spark, f"{root}/{name}")
             aside, _ = _fs(spark, f"{stage}/old-{name}")
-            if fs.exists(old):
-                fs.rename(old, aside)
+            there = fs.exists(old)
+            if there and not fs.rename(old, aside):
+                raise OSError(f"{name} could not be moved aside")
+            moved.append((fs, old, aside if there else None))
             if not fs.rename(new, old):
                 raise OSError(f"{name} could not be put into place")
+    except BaseException:
+        for fs, old, aside in reversed(moved):
+            if fs.exists(old):
+                fs.delete(old, True)
+            if aside is not None:
+                fs.rename(aside, old)
+        raise
     finally:
         p, fs = _fs(spark, stage)
         fs.delete(p, True)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from taxaloom.functions import links
 from taxaloom.operators import authors, places, statuses
+from taxaloom.sources import sinks
 
 
 def one(spark, column):
@@ -107,3 +108,64 @@ def test_rings_and_zoom():
 def test_display_url(spark):
     assert one(spark, links.display_url(F.lit("https://static.inaturalist.org/photos/12/original.jpg"))) == "https://static.inaturalist.org/photos/12/medium.jpg"
     assert one(spark, links.display_url(F.lit("http://x/original.jpg"))) == "http://x/original.jpg"
+
+
+def test_publish_puts_back_what_was_there(spark, tmp_path):
+    """A place that cannot be taken: both old tables stand as they were."""
+    root = f"file://{tmp_path}"
+    one_, two = spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([(2,), (3,)], "k int")
+    sinks.publish({"a": one_}, root, lambda t: {})
+    (tmp_path / "blocked").write_text("a file, where a folder should be")
+    with pytest.raises(Exception):
+        sinks.publish({"a": two, "blocked/b": two}, root, lambda t: {})
+    assert spark.read.parquet(f"{root}/a").count() == 1
+    assert [p.name for p in tmp_path.iterdir() if p.name.startswith(".stage")] == []
+
+
+def test_answers_of_a_file_in_several_parts(spark, tmp_path):
+    from taxaloom.sources import readers
+
+    (tmp_path / "l.jsonl").write_text("".join(f'{{"id": {i % 7}, "n": {i}, "pad": "{"x" * 60}"}}\n' for i in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = readers.answers(spark, str(tmp_path / "l.jsonl"), "id int, n int, pad string")
+        assert rows.rdd.getNumPartitions() > 3
+        assert {r.id: r.n for r in readers.first_valid(rows, F.col("n") >= 700).collect()} == {i % 7: i for i in range(700, 707)}
+        assert [r.n for r in rows.orderBy("file", "place").collect()] == list(range(3000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_search_form_on_the_driver(spark):
+    from taxaloom.functions import text as tx
+
+    cases = ["Île d’Orléans", "a x x b", "Việt Nam", "Café X  Y", "O'Neil-Smith", "x", "", "АЙ 12", "Ǣǻ ṩ"]
+    got = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, c string").select("i", tx.search_norm(F.col("c")).alias("n")).orderBy("i").collect()
+    assert [r.n for r in got] == [tx.search_form(c) for c in cases]
+    assert tx.search_form("Việt") == "viet"
+
+
+def test_served_tables_are_built_once(spark, tmp_path):
+    from taxaloom.plans.shared import served
+
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.read.parquet(str(tmp_path / "in"))
+
+    write = lambda df, path: df.write.parquet(path)
+    spark.range(3).write.parquet(str(tmp_path / "in"))
+    assert served(spark, "t", [str(tmp_path / "in")], build, write).count() == served(spark, "t", [str(tmp_path / "in")], build, write).count() == 3
+    assert len(calls) == 1
+    spark.range(5).write.mode("append").parquet(str(tmp_path / "in"))
+    assert served(spark, "t", [str(tmp_path / "in")], build, write).count() == 8 and len(calls) == 2
+
+
+def test_no_cell_arithmetic_in_filters(spark, sf_dir):
+    from taxaloom.plans import driver_queries
+
+    for name in ("overview_hexes", "species_map", "rank_map", "area_species", "cell_species_list"):
+        plan = driver_queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "FLOOR" not in plan.upper(), name
