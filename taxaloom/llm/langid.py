@@ -3,8 +3,8 @@
 Texts become lower-cased letters with blanks between words; their 1-, 2- and 3-grams are hashed to
 2**BITS features. Document frequencies come from all training documents. Weights are trained with
 follow-the-regularised-leader (proximal, per-coordinate rates, elastic net) on a bounded sample: of
-each language the SAMPLE documents with the smallest hash of their doc_id, TOTAL in all. A fifth of them is kept from
-training to fit the temperature that divides all logits.
+each language the SAMPLE documents with the smallest hash of doc_id and text, TOTAL in all; equal rows
+count once there. A fifth of them is kept from training to fit the temperature that divides all logits.
 
 Defined results. A text that is null or has no letter is `und` with score 0. Rows without lang are not
 learnt from. Without any training row every text is `und`. Repeated rows get the same prediction.
@@ -12,6 +12,7 @@ learnt from. Without any training row every text is `und`. Repeated rows get the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,20 +78,21 @@ def document_frequencies(training: DataFrame) -> tuple[np.ndarray, int]:
 
 def sample(training: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """(lang, features, counts) of the sampled documents, in a fixed order."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = training.select("doc_id", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE)
-    ids = ids.orderBy("r", F.xxhash64("doc_id"), "doc_id").limit(TOTAL).select("doc_id").distinct()
+    hashed = training.select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    # a language's count says how small a hash must be; only some more than SAMPLE rows go on to be ranked
+    share = hashed.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(SAMPLE + 8 * math.sqrt(SAMPLE)) / F.count("*")).alias("share"))
+    few = hashed.join(share, "lang").where(F.col("h").cast("double") / 2.0**64 + 0.5 <= F.col("share")).dropDuplicates(["lang", "doc_id", "h"])
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    few = few.withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE).orderBy("r", "h", "doc_id", "lang").limit(TOTAL)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(d, lang, g[0].astype("<u4").tobytes(), g[1].astype("<u4").tobytes()) for d, lang, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) if (g := grams(t))]
+            rows = [(h, lang, g[0].astype("<u4").tobytes(), g[1].astype("<u4").tobytes()) for h, lang, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) if (g := grams(t))]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.binary(), pa.binary()), strict=True)], names=["doc_id", "lang", "f", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.binary(), pa.binary()), strict=True)], names=["h", "lang", "f", "n"])
 
-    # at most TOTAL ids: a bound that does not grow with the documents
-    rows = training.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, lang string, f binary, n binary").collect()
-    key = mix64(np.array([r.doc_id for r in rows], np.int64).view(np.uint64)) if rows else []
-    rows = [r for _, r in sorted(zip(key, rows, strict=True), key=lambda x: (int(x[0]), x[1].lang, bytes(x[1].f)))]
+    rows = few.select("h", "lang", "text").mapInArrow(run, "h long, lang string, f binary, n binary").collect()
+    rows.sort(key=lambda r: (r.h, r.lang, bytes(r.f)))
     return [(r.lang, np.frombuffer(r.f, "<u4").astype(np.int64), np.frombuffer(r.n, "<u4").astype(np.float64)) for r in rows]
 
 
