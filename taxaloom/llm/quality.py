@@ -152,24 +152,30 @@ def pool_adjacent(y: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(int(n), v) for v, _, n in level]) if level else np.zeros(0)
 
 
-def stats_of(docs: DataFrame) -> DataFrame:
-    """doc_id and statistics of each document."""
+def with_stats(docs: DataFrame, stats: str = "stats") -> DataFrame:
+    """docs with the statistics of each text."""
+    at, names = docs.columns.index("text"), [*docs.columns, stats]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8_view(batch.column(1))
+            data, offsets = utf8_view(batch.column(at))
             for i, j in text_chunks(offsets):
                 x = statistics(data, offsets[i : j + 1])
                 own = pa.ListArray.from_arrays(np.arange(0, x.size + 1, STATS, dtype=np.int32), pa.array(x.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), own], names=["doc_id", "stats"])
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns), own], names=names)
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(stats, T.ArrayType(T.DoubleType()))]))
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, stats array<double>")
+
+def stats_of(docs: DataFrame) -> DataFrame:
+    """doc_id and statistics of each document."""
+    return with_stats(docs.select(F.col("doc_id").cast("long"), "text")).drop("text")
 
 
 def fit(stats: DataFrame, labels: DataFrame, column: str = "quality") -> Model:
     """stats (doc_id, stats) and labels (doc_id, quality 0/1) -> model."""
     named = labels.select(F.col("doc_id").cast("long"), F.col(column).cast("double").alias("y")).where("y is not null and doc_id is not null")
-    rows = stats.dropDuplicates(["doc_id"]).join(named, "doc_id").select("stats", "y", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("double").alias("half"))
+    rows = stats.groupBy("doc_id").agg(F.min("stats").alias("stats")).join(named, "doc_id").select("stats", "y", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("double").alias("half"))
     rows = materialise(rows, "labelled")
 
     def moments(batch):
@@ -221,25 +227,17 @@ def held_out(doc_id, folds: int = 5, fold: int = 0):
     return F.crc32(doc_id.cast("string").cast("binary")) % folds == fold
 
 
-def score_stats(stats: DataFrame, model: Model) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(_matrix(batch.column(1))))], names=["doc_id", "score"])
-
-    return stats.mapInArrow(run, "doc_id long, score double")
-
-
-def score_documents(docs: DataFrame, model: Model, score: str = "quality_score") -> DataFrame:
-    """docs with a score column."""
-    at, names = docs.columns.index("text"), [*docs.columns, score]
+def score_stats(rows: DataFrame, model: Model, stats: str = "stats", score: str = "score") -> DataFrame:
+    """rows with a score in place of the statistics."""
+    at = rows.columns.index(stats)
+    others = [f for f in rows.schema.fields if f.name != stats]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8_view(batch.column(at))
-            found = [model.score(statistics(data, offsets[i : j + 1])) for i, j in text_chunks(offsets)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found) if found else np.zeros(0))], names=names)
+            left = [c for i, c in enumerate(batch.columns) if i != at]
+            yield pa.RecordBatch.from_arrays([*left, pa.array(model.score(_matrix(batch.column(at))))], names=[*(f.name for f in others), score])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())]))
+    return rows.mapInArrow(run, T.StructType([*others, T.StructField(score, T.DoubleType())]))
 
 
 def training_labels(spark, sf_dir: str) -> DataFrame:
@@ -258,8 +256,7 @@ def op10_quality(spark, sf_dir: str) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier accepts."""
     ship(docs.sparkSession)
-    stats = materialise(stats_of(docs), "stats")
-    model = fit(stats, labels)
-    release(stats)
-    score = fresh(docs, "quality_score")
-    return score_documents(docs, model, score).where(F.col(score) >= THRESHOLD).drop(score)
+    stats, score = fresh(docs, "stats"), fresh(docs, "quality_score")
+    held = materialise(with_stats(docs, stats), "scored")  # statistics stay with their rows: computed once, joined to nothing
+    model = fit(held.select("doc_id", F.col(stats).alias("stats")), labels)
+    return score_stats(held, model, stats, score).where(F.col(score) >= THRESHOLD).drop(score)
