@@ -92,8 +92,8 @@ def facet_counts(df: DataFrame, conditions: dict[str, Column], facets: dict[str,
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 0, by: list[str] | None = None) -> DataFrame:
-    """n rows by the order of a seeded hash, of each stratum if `by` is given; the same rows every time."""
-    order = [F.xxhash64(F.col(key), F.lit(seed)), F.col(key)]
+    """n rows by the order of a seeded digest, of each stratum if `by` is given; the same rows every time."""
+    order = [F.md5(F.concat_ws(" ", F.col(key).cast("string"), F.lit(str(seed)))), F.col(key)]
     return top_per_key(df, by, order, n) if by else df.orderBy(*order).limit(n)
 
 
