@@ -32,12 +32,23 @@ def reject_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates, the document with the smallest doc_id, once."""
+    """Of each component of near-duplicates, the document with the smallest doc_id.
+
+    A row is named by doc_id and text: documents without an id, or of one id, stay apart unless their
+    texts are linked. Equal documents are one; of rows that differ in other columns alone, the first by
+    those columns' hash stays.
+    """
     ship(spark)
     found = jaccard.near_duplicates(docs.select("doc_id", "text"))
-    key = fresh(docs, "kept_key")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(doc_key(found).alias(key)).distinct()
-    return docs.withColumn(key, doc_key(docs)).join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
+    key, digest, same, row, order = (fresh(docs, x) for x in ("kept_key", "kept_digest", "kept_same", "kept_row", "kept_order"))
+    names = found.groupBy("component", doc_key(found).alias("key"), "text_hash").agg(F.count("*").alias("same"))
+    kept = names.groupBy("component").agg(F.min(F.struct("key", "text_hash", "same")).alias("first")).select(F.col("first.key").alias(key), F.col("first.text_hash").alias(digest), F.col("first.same").alias(same))
+    chosen = docs.withColumns({key: doc_key(docs), digest: F.xxhash64("text")}).join(kept, [key, digest])
+    once = chosen.where(F.col(same) == 1).select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    hashed = chosen.where(F.col(same) > 1).withColumn(order, F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0))
+    repeated = hashed.groupBy(key, digest).agg(F.min_by(F.struct(*docs.columns), order).alias(row))
+    return once.unionByName(repeated.select(*(F.col(f"{row}.{c}").alias(c) for c in docs.columns)))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
