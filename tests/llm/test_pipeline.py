@@ -79,3 +79,16 @@ def test_odd_rows_pass_every_stage(spark, sf_dir):
     assert p.STAGES[0][1](spark, docs, sf_dir).columns == docs.columns
     for _, stage in p.STAGES:
         assert stage(spark, docs.limit(0), sf_dir).collect() == []
+
+
+def test_rows_without_an_id_stay_apart(spark, sf_dir):
+    """Different texts without an id, or of one id, are different documents; equal ones are one."""
+    ship(spark)
+    text = lambda x: " ".join(f"{x}{i}" for i in range(60))
+    rows = [(None, text("a"), "k"), (None, text("b"), "k"), (None, text("a"), "j"), (5, text("c"), "k"), (5, text("d"), "k"), (6, text("c") + " more", "k"), (7, text("e"), "k"), (7, text("e"), "k"), (None, None, "k"), (None, "", "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    out = [(r.doc_id, r.text) for r in p.one_of_each_group(spark, docs, sf_dir).collect()]
+    assert len(out) == 6  # both empty rows without an id are one
+    assert sorted(t for _, t in out if t) == sorted([text("a"), text("b"), text("c"), text("d"), text("e")][:2] + [text("c"), text("d"), text("e")])
+    cut = [(r.doc_id, r.text) for r in p.cut_repeats(spark, docs.where("text <> '' and (doc_id is null or doc_id = 5)"), sf_dir).collect()]
+    assert sorted(t for _, t in cut) == sorted([text("a"), text("a"), text("b"), text("c"), text("d")])
