@@ -185,7 +185,8 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
         lines = F.array_distinct(F.filter("lines", lambda x: F.length(x).isin(lengths)))
         notices = F.array_sort(F.array_distinct(F.filter(F.transform(digests(lines), lambda d: F.element_at(names, d)), lambda x: x.isNotNull())))
         rows = rows.select("doc_id", whole, F.array_join(notices, ",").alias("notice_ids"))
-        known = docs.sparkSession.createDataFrame(table, "license_id string, digest string, size int")
+        values = ", ".join(f"('{name}', '{digest}')" for name, digest, _ in table)
+        known = docs.sparkSession.sql(f"SELECT * FROM VALUES {values} AS known(license_id, digest)")
     else:
         content = F.array_sort(F.array_distinct(digests(F.col("lines"))))
         rows = rows.select("doc_id", whole, content.alias("lines")).withColumn("content", F.sha2(F.array_join("lines", ","), 256))
