@@ -343,7 +343,8 @@ def _packed(flat: np.ndarray, counts: np.ndarray, width: int) -> pa.Array:
 
 
 def encode(docs: DataFrame, path: str, ids: str = "ids", offsets: str | None = None) -> DataFrame:
-    """docs with `ids`, each text's token ids as packed little-endian 32-bit integers; with `offsets`, the byte at which each token's slice starts, packed as 64-bit integers."""
+    """docs with `ids`, each text's token ids as packed little-endian 32-bit integers; with `offsets`, the byte at which each token's slice starts, packed as 64-bit integers. Columns that had these names are replaced."""
+    docs = docs.drop(*(x for x in (ids, offsets) if x))
     at, names = docs.columns.index("text"), [*docs.columns, ids, *([offsets] if offsets else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,7 +363,8 @@ def encode(docs: DataFrame, path: str, ids: str = "ids", offsets: str | None = N
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """df with the bytes that its packed ids stand for."""
+    """df with the bytes that its packed ids stand for; a column that had the name is replaced."""
+    df = df.drop(out)
     at, names = df.columns.index(ids), [*df.columns, out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

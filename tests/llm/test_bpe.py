@@ -71,6 +71,9 @@ def test_odd_rows(spark):
         assert bytes(r.back).decode() == (r.text or "")
         assert len(r["at"]) == 2 * len(r.packed)
     assert bpe.encode(df.limit(0), path, ids="packed").collect() == []
+    clash = bpe.decode(bpe.encode(df.withColumnRenamed("ids", "decoded"), path), path)
+    assert clash.columns == ["doc_id", "text", "ids", "decoded"]
+    assert sorted(bytes(r.decoded).decode() for r in clash.collect()) == sorted(r[1] or "" for r in rows)
 
 
 def test_decoding_refuses_unknown_ids():
