@@ -186,7 +186,7 @@ def as_text(spans: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame, base: str = "base_spans", entropy: str = "entropy_spans") -> DataFrame:
-    """docs with two more columns of spans."""
+    """docs with two more columns of spans; columns that had these names are replaced."""
     b, e = scan_text(F.col("text"))
     return docs.withColumns({base: b, entropy: e})
 

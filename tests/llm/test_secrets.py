@@ -83,3 +83,13 @@ def test_mask(spark):
 def test_empty(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     assert secrets.op4_secret_scan(spark, str(tmp_path)).collect() == []
+
+
+def test_very_many_matches_and_clashing_names(spark):
+    """Twenty thousand matches in one text, more than a block holds; columns of the spans' names are replaced."""
+    text = "token=abcdefghijkl0 \n" * 20_000 + "x"
+    df = spark.createDataFrame([(1, text, "b", 7)], "doc_id long, text string, base_spans string, entropy_spans int")
+    out = secrets.find_secrets(df)
+    assert out.columns == ["doc_id", "text", "base_spans", "entropy_spans"]
+    r = out.select("base_spans").first()
+    assert [(x.start, x.end) for x in r.base_spans] == [(21 * i, 21 * i + 19) for i in range(20_000)]
