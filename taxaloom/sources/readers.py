@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import io
 import zipfile
 from collections.abc import Iterable
@@ -179,3 +180,24 @@ def boxes_of_documents(documents: DataFrame) -> DataFrame:
     rows = documents.select("id", F.posexplode(F.arrays_zip(*(e.alias(n) for e, n in zip(edges, "wsen", strict=True)))).alias("box", "e"))
     values = {n: F.col(f"e.{n}").try_cast("double") for n in "wsen"}
     return rows.select("id", "box", *(v.alias(n) for n, v in values.items()), (values["w"].isNull() | values["s"].isNull() | values["e"].isNull() | values["n"].isNull()).alias("damaged"))
+
+
+def in_box(spark: SparkSession, path: str, columns: list[str], box: tuple[float, float, float, float], lon: str = "decimallongitude", lat: str = "decimallatitude") -> DataFrame:
+    """Columns of the parquet rows whose point lies in a box (west, south, east, north); the bounds reach the files' statistics."""
+    west, south, east, north = box
+    inside = F.col(lon).between(float(west), float(east)) & F.col(lat).between(float(south), float(north))
+    return spark.read.parquet(path).where(inside).select(*columns)
+
+
+def cell_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A small CSV with heading that may be gzipped whatever its name: its first two bytes say so."""
+    names = [f.name for f in T.StructType.fromDDL(schema)]
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        for batch in batches:
+            for raw in batch["content"]:
+                text = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
+                yield pd.read_csv(io.BytesIO(text), dtype=str, keep_default_na=False)[names]
+
+    rows = spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, ", ".join(f"{n} string" for n in names))
+    return rows.select(*(F.nullif(F.col(f.name), F.lit("")).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema)))

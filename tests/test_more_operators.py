@@ -169,3 +169,38 @@ def test_no_cell_arithmetic_in_filters(spark, sf_dir):
     for name in ("overview_hexes", "species_map", "rank_map", "area_species", "cell_species_list"):
         plan = driver_queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
         assert "FLOOR" not in plan.upper(), name
+
+
+def test_page_items():
+    from taxaloom.operators.audits import page_items
+
+    assert page_items(10, 64) == [1, None, 9, 10, 11, None, 64]
+    assert page_items(1, 64) == [1, 2, 3, 4, 5, None, 64] == page_items(4, 64)
+    assert page_items(64, 64) == [1, None, 60, 61, 62, 63, 64] == page_items(61, 64)
+    assert page_items(10, 64, 0) == [1, None, 10, None, 64]
+    assert page_items(2, 7) == [1, 2, 3, 4, 5, 6, 7] and page_items(1, 0) == []
+
+
+def test_refused_settings():
+    from taxaloom.operators.audits import refuse_setting
+
+    refuse_setting("MAX_RES", None)
+    refuse_setting("MAX_RES", " ")
+    with pytest.raises(ValueError):
+        refuse_setting("MAX_RES", 5)
+
+
+def test_cell_tables_and_boxes(spark, tmp_path):
+    import gzip
+
+    from taxaloom.sources import readers
+
+    text = b"cell,records\nh4_1_2,5\nh4_1_3,\n"
+    (tmp_path / "plain.csv.gz").write_bytes(text)
+    (tmp_path / "packed.csv").write_bytes(gzip.compress(text))
+    for name in ("plain.csv.gz", "packed.csv"):
+        assert [tuple(r) for r in readers.cell_table(spark, str(tmp_path / name), "cell string, records bigint").collect()] == [("h4_1_2", 5), ("h4_1_3", None)]
+    spark.createDataFrame([(1, -125.0, 50.0), (2, -100.0, 50.0), (3, None, 50.0), (4, -120.0, 61.0)], "id int, decimallongitude double, decimallatitude double").write.parquet(str(tmp_path / "p"))
+    df = readers.in_box(spark, str(tmp_path / "p"), ["id"], (-139, 48, -114, 60))
+    assert [r.id for r in df.collect()] == [1]
+    assert "GreaterThanOrEqual(decimallongitude" in df._jdf.queryExecution().executedPlan().toString()

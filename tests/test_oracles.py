@@ -1,7 +1,7 @@
 import oracle
 import pytest
 
-from taxaloom.plans import driver_queries
+from taxaloom.plans import audit_queries as driver_queries
 
 
 @pytest.fixture(scope="module")
