@@ -271,6 +271,34 @@ def taxa_in_text(text: Column, genera: set[str], families: set[str], epithets: s
     return find(text)
 
 
+#: A capitalised word, and what may make it a name of two parts.
+_MENTION = r"(?<![A-Za-z])([A-Z][a-z]{2,})(?![A-Za-z])(?: +(?:(spp?\.)(?![A-Za-z])|([a-z][a-z-]{2,})(?![A-Za-z])))?"
+#: Pairs of ordinary words whose second one is an epithet.
+NO_SPECIES = ["canada par", "vitesse par", "the minimum", "the major", "the maximum", "flour medium", "parks ontario"]
+
+
+def taxa_tiers(texts: DataFrame, names: dict[str, DataFrame]) -> DataFrame:
+    """Taxa named in texts (id, text), a row (id, tier, name, place) each, in order of place; lists of names by hash joins.
+
+    names: frames with one column `name` for species, genera, epithets, families and higher taxa. Of each
+    capitalised word the first tier holds that fits: genus_qualified ("Vulpes sp."), species_found (a
+    listed pair), species_off_list (any pair with a listed epithet; the genus may be unlisted),
+    family_found, higher_taxa_found, genus_bare. A bare genus that a pair of the text names is left out.
+    """
+    groups = F.arrays_zip(*(F.regexp_extract_all("text", F.lit(_MENTION), F.lit(i)).alias(c) for i, c in ((1, "w"), (2, "q"), (3, "e"))))
+    rows = texts.select("id", F.posexplode(groups).alias("place", "m")).select("id", "place", "m.w", "m.q", "m.e").withColumn("pair", F.concat("w", F.lit(" "), "e"))
+    for flag, (column, kind) in {"is_genus": ("w", "genera"), "is_family": ("w", "families"), "is_higher": ("w", "higher"), "is_epithet": ("e", "epithets"), "is_species": ("pair", "species")}.items():
+        rows = rows.join(names[kind].select(F.col("name").alias(column)).distinct().withColumn(flag, F.lit(True)), column, "left")
+    tier = (
+        F.when((F.col("q") != "") & F.col("is_genus"), "genus_qualified").when((F.col("e") != "") & F.col("is_species"), "species_found")
+        .when((F.col("e") != "") & F.col("is_epithet") & ~F.lower("pair").isin(NO_SPECIES), "species_off_list").when(F.col("is_family"), "family_found").when(F.col("is_higher"), "higher_taxa_found").when(F.col("is_genus"), "genus_bare")
+    )
+    name = F.when(F.col("tier") == "genus_qualified", F.concat("w", F.lit(" "), "q")).when(F.col("tier").startswith("species"), F.col("pair")).otherwise(F.col("w"))
+    found = rows.withColumn("tier", tier).where("tier is not null").groupBy("id", "tier", "w", name.alias("name")).agg(F.min("place").alias("place"))
+    paired = found.where(F.col("tier").isin("genus_qualified", "species_found", "species_off_list")).select("id", "w", F.lit("genus_bare").alias("tier")).distinct()
+    return found.join(paired, ["id", "w", "tier"], "left_anti").select("id", "tier", "name", "place")
+
+
 def coordinates_in_text(text: Column) -> Column:
     """Points, ranges, boxes and single latitudes or longitudes written in a text, as an array of structs; `coordinates` has the forms."""
 

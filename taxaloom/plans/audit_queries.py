@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from taxaloom.operators import audits
+from taxaloom.operators import catalogue as cat
 from taxaloom.plans.driver_queries import ORACLE_SQL, QUERIES, query
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -153,3 +154,12 @@ def image_table_check(r):
     p = r.table("part")
     images = p.select(F.col("p_partkey").alias("specieskey"), F.when(F.col("p_partkey") % 10 == 1, " ").otherwise("u").alias("identifier"), F.lit("CC_BY_4_0").alias("license_code"), F.when(F.col("p_size") % 2 == 0, 9).otherwise(2).alias("license_rank"))
     return audits.image_problems(images, p.where("p_partkey % 10 <> 0").select(F.col("p_partkey").alias("specieskey")), {"CC_BY_4_0": 2})
+
+
+_LISTS = {"genera": ["The", "This", "Vulpes", "Red"], "families": ["And"], "higher": ["But"], "epithets": ["and", "the", "vulpes"], "species": ["The quick", "Vulpes vulpes"]}
+
+@query()
+def taxa_by_tier(r):
+    """Whole texts; a test holds every row against a slow version."""
+    frames = {k: r.spark.createDataFrame([(x,) for x in v], "name string") for k, v in _LISTS.items()}
+    return cat.taxa_tiers(r.table("documents").select(F.col("doc_id").alias("id"), "text"), frames)

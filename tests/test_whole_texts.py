@@ -37,3 +37,40 @@ def test_titles_are_compared_whole(spark, tmp_path):
     spark.createDataFrame(texts, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     want = {i: round(difflib.SequenceMatcher(None, t, t[9:], autojunk=False).ratio(), 6) for i, t in texts}
     assert {r.item_id: r.ratio for r in driver_queries.QUERIES["title_similarity"](spark, str(tmp_path)).collect()} == want
+
+
+def test_taxa_by_tier(spark):
+    """Against a walk over each text that claims stretches tier by tier."""
+    import random
+
+    from taxaloom.operators import catalogue as cat
+
+    lists = {"genera": ["Canis", "Ursus", "Apis"], "families": ["Felidae"], "higher": ["Aves"], "epithets": ["lupus", "mellifera", "major", "nova-scotia"], "species": ["Canis lupus", "Apis mellifera"]}
+    parts = ["Canis", "lupus", "Ursus", "Apis", "mellifera", "sp.", "spp.", "The", "major", "Felidae", "Aves", "Beta", "nova-scotia", "ran", "x", ",", "CanisX", "Canis,", "(Apis"]
+    rnd = random.Random(6)
+    texts = [(i, " ".join(rnd.choice(parts) + rnd.choice(["", "", " "]) for _ in range(60))) for i in range(40)] + [(90, None), (91, "")]
+    have = {k: set(v) for k, v in lists.items()}
+    want = set()
+    for d, t in texts:
+        taken, found = [], {}
+        free = lambda m: all(m.end() <= a or m.start() >= b for a, b in taken)
+        for m in re.finditer(r"(?<![A-Za-z])([A-Z][a-z]{2,})[ ]+(spp?\.)(?![A-Za-z])", t or ""):
+            if m[1] in have["genera"]:
+                found.setdefault("genus_qualified", []).append((f"{m[1]} {m[2]}", m[1]))
+                taken.append(m.span())
+        for m in re.finditer(r"(?<![A-Za-z])([A-Z][a-z]{2,})[ ]+([a-z][a-z-]{2,})(?![A-Za-z])", t or ""):
+            pair = f"{m[1]} {m[2]}"
+            tier = "species_found" if pair in have["species"] else "species_off_list" if m[2] in have["epithets"] and pair.lower() not in cat.NO_SPECIES else None
+            if tier and free(m):
+                found.setdefault(tier, []).append((pair, m[1]))
+                taken.append(m.span())
+        named = {g for x in found.values() for _, g in x}
+        for m in re.finditer(r"(?<![A-Za-z])([A-Z][a-z]{2,})(?![A-Za-z])", t or ""):
+            kind = next((k for k, s in (("family_found", "families"), ("higher_taxa_found", "higher"), ("genus_bare", "genera")) if m[1] in have[s]), None)
+            if kind and free(m) and not (kind == "genus_bare" and m[1] in named):
+                found.setdefault(kind, []).append((m[1], m[1]))
+        want |= {(d, k, n) for k, x in found.items() for n, _ in x}
+    frames = {k: spark.createDataFrame([(x,) for x in v], "name string") for k, v in lists.items()}
+    got = [(r.id, r.tier, r["name"]) for r in cat.taxa_tiers(spark.createDataFrame(texts, "id long, text string"), frames).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {k for _, k, _ in want} == {"genus_qualified", "species_found", "species_off_list", "family_found", "higher_taxa_found", "genus_bare"}
