@@ -39,22 +39,6 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def cut_points(allowed: np.ndarray, offsets: np.ndarray, most: int) -> np.ndarray:
-    """offsets with more places, each allowed, so that parts have about `most` bytes; without an allowed place a part stays longer."""
-    places = np.flatnonzero(allowed)
-    out = [offsets[:1]]
-    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-        at = a
-        while b - at > most:
-            k = int(np.searchsorted(places, at + most))
-            if k == len(places) or places[k] >= b:
-                break
-            at = int(places[k])
-            out.append(np.array([at]))
-        out.append(np.array([b]))
-    return np.concatenate(out)
-
-
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts data[offsets[i]:offsets[i + 1]] in order, and how many each text has.
 
@@ -82,8 +66,8 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     up, down = _powers(CHUNK + LONG)
     short = np.flatnonzero(e - s <= LONG)
     step = s[short] // CHUNK
-    head = np.flatnonzero(np.concatenate([[True], step[1:] != step[:-1]])) if len(short) else short
-    for i, j in zip(head, np.append(head[1:], len(short)), strict=True):
+    cut = np.flatnonzero(np.concatenate([[True], step[1:] != step[:-1], [True]])) if len(short) else short
+    for i, j in zip(cut[:-1], cut[1:], strict=True):
         at = short[i:j]
         a, b = int(s[at[0]]), int(e[at[-1]])
         total = np.zeros(b - a + 1, np.uint64)
