@@ -38,6 +38,10 @@ from .common import CHUNK, byte_table, doc_key, fresh, materialise, mix64, parti
 K = 32
 #: Bytes of text whose anchors are ordered together before the shuffle.
 FLUSH = 12_000_000
+#: Anchors that are ordered together at most: prose has one in 23 bytes, a run of one byte has one in each.
+HELD = 1_000_000
+#: Rows that go to the JVM at once.
+SENT = 100_000
 #: Differing neighbourhoods of one 32-gram that a single task compares; beyond it, windows are dealt one by one.
 HOT = 4096
 SPREAD = 32
@@ -229,36 +233,49 @@ def _local(h: np.ndarray, c: np.ndarray, doc: np.ndarray, d: np.ndarray, s: np.n
         yield _rows(np.full(len(d), MARK), _by_row(doc, d), np.zeros(len(d), np.int64), doc, d, a, b)
 
 
+def _pieces(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """First row, where in its text, and offsets: rows of CHUNK bytes together, or a stretch of CHUNK window starts of a long text.
+
+    A run of windows with one anchor that is cut in two is settled window by window.
+    """
+    for i, j in text_chunks(offsets):
+        n = int(offsets[j] - offsets[i])
+        if j - i > 1 or n <= 4 * CHUNK:
+            yield i, 0, offsets[i : j + 1]
+            continue
+        for a in range(0, n - length + 1, CHUNK):
+            yield i, a, offsets[i] + np.array([a, min(a + CHUNK + length - 1, n)])
+
+
 def anchor_rows(length: int, flush: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        size = 0
+        size = rows = 0
+
+        def local() -> Iterator[pa.RecordBatch]:
+            found = _local(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            held.clear()
+            for batch in found:
+                yield from (batch.slice(at, SENT) for at in range(0, batch.num_rows, SENT))
+
         for batch in batches:
             data, offsets = utf8_view(batch.column(2))
             docs, digests = (batch.column(x).to_numpy(zero_copy_only=False) for x in (0, 1))
-            for i, j in text_chunks(offsets):
-                off = offsets[i : j + 1]
+            for i, a, off in _pieces(offsets, length):
                 lengths = np.diff(off)
                 size += int(lengths.sum())
-                if len(lengths) == 1 and lengths[0] > 4 * CHUNK:
-                    # a long text goes in stretches of window starts; a run cut in two is settled window by window
-                    for a in range(0, int(lengths[0]) - length + 1, CHUNK):
-                        part = np.array([off[0] + a, min(off[0] + a + CHUNK + length - 1, off[1])])
-                        codes, starts = _padded(data, part, length)
-                        g = _grams(codes, 1, 64)
-                        p, lo, hi = _anchors(codes, g[32], starts, np.diff(part), length)
-                        held.append((_signed(mix64(g[32][p])), _signed(_contexts(g[64], lo, hi, p, length)), np.full(len(p), docs[i]), np.full(len(p), digests[i]), (lo - starts[0] + a).astype(np.int32), (hi - lo).astype(np.int32)))
-                elif (lengths >= length).any():
+                if (lengths >= length).any():
                     codes, starts = _padded(data, off, length)
                     g = _grams(codes, 1, 64)
                     p, lo, hi = _anchors(codes, g[32], starts, lengths, length)
                     own = np.searchsorted(starts, lo, side="right") - 1
-                    held.append((_signed(mix64(g[32][p])), _signed(_contexts(g[64], lo, hi, p, length)), docs[i + own], digests[i + own], (lo - starts[own]).astype(np.int32), (hi - lo).astype(np.int32)))
-                if size >= flush and held:
-                    yield from _local(*(np.concatenate(x) for x in zip(*held, strict=True)))
-                    held, size = [], 0
+                    held.append((_signed(mix64(g[32][p])), _signed(_contexts(g[64], lo, hi, p, length)), docs[i + own], digests[i + own], (lo - starts[own] + a).astype(np.int32), (hi - lo).astype(np.int32)))
+                    rows += len(p)
+                if held and (size >= flush or rows >= HELD):
+                    yield from local()
+                    size = rows = 0
         if held:
-            yield from _local(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            yield from local()
 
     return run
 
@@ -360,7 +377,8 @@ def window_rows(key_at: int, digest_at: int, text_at: int, ranges_at: int, lengt
             rs, rw, hot = rs.astype(np.int64), rw.astype(np.int64), hot.astype(bool)
             own = np.repeat(np.arange(len(batch)), np.diff(at))
             cold = np.flatnonzero(~hot)
-            for part in np.array_split(cold, max(1, len(cold) // 100_000)):
+            step = max(1, CHUNK // (2 * length))  # a range with its bytes is shorter than two lengths
+            for part in (cold[at : at + step] for at in range(0, len(cold), step)):
                 n = rw[part] + length
                 whole = data[repeat_ranges(offsets[own[part]] + rs[part], n)]
                 ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)

@@ -133,3 +133,54 @@ def test_factors_are_the_longest():
         data = np.frombuffer(raw, np.uint8)
         assert repeats.previous_factors(data, at, place, cap).tolist() == want
         assert (repeats.previous_factors(data, at, place, cap, cap) >= cap).tolist() == [x >= cap for x in want]
+
+
+def peak_mb(rows):
+    """The most that a worker's function holds while it runs, beyond what was there, and how many rows it gives at once."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        most = max(len(b) for b in rows)
+        return tracemalloc.get_traced_memory()[1] / 1e6, most
+    finally:
+        tracemalloc.stop()
+
+
+def text_batch(texts):
+    import pyarrow as pa
+
+    return pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array([0] * len(texts), pa.int64()), pa.array(texts)], names=["d", "x", "t"])
+
+
+@pytest.mark.parametrize("texts", [["a" * 5_000_000], ["a" * 400_000 + str(i) for i in range(12)], ["".join(random.Random(2).choices("abcdefgh", k=4_000_000))]])
+def test_anchors_have_bounded_memory(texts):
+    """Each byte of a run of one byte is an anchor: they are ordered in parts, within a long text too."""
+    mb, most = peak_mb(repeats.anchor_rows(100, repeats.FLUSH)(iter([text_batch(texts)])))
+    assert mb < 350
+    assert most <= repeats.SENT
+
+
+def test_anchors_in_parts_give_what_one_order_gives(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HELD", 40)
+    monkeypatch.setattr(repeats, "SENT", 7)
+    monkeypatch.setattr(repeats, "CHUNK", 300)
+    rnd = random.Random(13)
+    base = "".join(rnd.choice("abc") for _ in range(900)) + "z" * 700
+    check(spark, [(i, base[i * 31 :] + "y" * (90 + i) + base[: i * 57]) for i in range(9)])
+
+
+def test_many_ranges_of_one_batch_have_bounded_memory():
+    """The bytes of a batch's ranges are taken in parts of CHUNK bytes."""
+    import pyarrow as pa
+
+    n = 190_000
+    text = "".join(random.Random(1).choices("abcdefgh", k=40 * n + 200))
+    at = pa.array([40 * i for i in range(n)], pa.int32())
+    ranges = pa.StructArray.from_arrays([at, pa.array([60] * n, pa.int32()), pa.array(range(n), pa.int64()), pa.array([False] * n)], ["s", "w", "h", "hot"])
+    marks = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ranges)
+    batch = pa.record_batch([pa.array([1], pa.int64()), pa.array([0], pa.int64()), pa.array([text]), marks], names=["d", "x", "t", "m"])
+    got = []
+    mb, _ = peak_mb(got.append(b.column(7)[0].as_py() + b.column(7)[len(b) - 1].as_py()) or b for b in repeats.window_rows(0, 1, 2, 3, 100)(iter([batch])))
+    assert mb < 100
+    assert got[0][:160] == text[:160].encode() and got[-1][160:] == text[40 * (n - 1) : 40 * (n - 1) + 160].encode()
